@@ -47,7 +47,7 @@ def position_of_role(c: ColumnOrName) -> Column:
 def position_from_fields(code: ColumnOrName, text: ColumnOrName) -> Column:
     """Team position from either field; the code wins.
 
-    One nursing code and one text form are not read here, as in the gap report.
+    One nursing code and three text forms are not read here, as in the gap report.
     """
     positions = fixed.POSITION_OF_ROLE
     by_code = {k: v for k, v in positions.items() if k != "EN002"}

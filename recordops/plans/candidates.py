@@ -87,7 +87,7 @@ def prepare_candidates(
     df = df.filter(travelling | ((F.col("phase") == 3) & F.col("_anchor")))
     df = df.filter(member("role", valid_roles))
     df = df.filter(F.col("status").isNull() | (F.col("status") == fixed.APPROVED))
-    df = lookup(df, roles, ["role"], one_row_by=["role_name"])
+    df = lookup(df, roles, ["role"])
     df = df.select(
         "state", "facility", "phase", "shift", "link", "key", "role_name", "role", "status"
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordops import fixed_values as fixed
 from recordops.functions.nulls import col, member, nulls_last, share_percent, strict_sum, sum_or_zero
 from recordops.functions.text import count_with_percent, extract, thousands
+from recordops.operators.aggregates import sum_numeric
 from recordops.operators.combine import stack, stack_same
 from recordops.operators.joins import lookup, unmatched
 from recordops.operators.ranking import top_per_key
@@ -111,7 +112,8 @@ def exchange_report(
     profile = module_profile(modules).select("module", "records", "covered")
     both = stack(profile, unique_persons(modules))
     cells: dict[str, Column] = {}
-    for i, (name, where) in enumerate([*[(m, F.col("module") == m) for m in modules]]):
+    for i, name in enumerate(modules):
+        where = F.col("module") == name
         cells[f"r{i}"] = F.max(F.when(where, F.col("records")))
         cells[f"c{i}"] = F.max(F.when(where, F.col("covered")))
         cells[f"p{i}"] = F.max(F.when(where, F.col("persons")))
@@ -157,7 +159,7 @@ def modal_positions(
     """
     code = extract(F.upper(F.trim("facility")), fixed.FACILITY_PATTERN)
     payroll = payroll.withColumn("facility", code)
-    known = lookup(payroll, facilities, ["facility"], one_row_by=["category"])
+    known = lookup(payroll, facilities, ["facility"])
     mode = mode_per_group(known, ["role"], ["position", "category"])
     mode = lookup(mode, roles, ["role"])
     mode = lookup(mode, positions, ["position"])
@@ -172,8 +174,6 @@ def with_national_rows(
     df: DataFrame, by: list[str], facility: str, label: str = fixed.NATIONAL
 ) -> DataFrame:
     """National sums of every numeric column added to an indicator table."""
-    from recordops.operators.aggregates import sum_numeric
-
     national = sum_numeric(df, by, **{facility: label}).select(*df.columns)
     return stack_same(df, national).filter(F.col(facility).isNotNull())
 
@@ -218,4 +218,4 @@ def label_dictionary(facilities: DataFrame, facility: str, unit: str) -> DataFra
 
 def goals_outside_catalogue(goals: DataFrame, facilities: DataFrame, facility: str) -> DataFrame:
     """Goal rows whose facility the catalogue does not have."""
-    return unmatched(goals, facilities, [facility], null_safe=False)
+    return unmatched(goals, facilities, [facility])

@@ -30,7 +30,7 @@ def classify_procedures(
     """
     known = matched(procedures, stays, keys)
     types = catalogue.select(code[1], kind)
-    typed = lookup(known, types, [code], one_row_by=[kind])
+    typed = lookup(known, types, [code])
     return typed.withColumns(
         {"category": surgical_kind(kind, in_room), "week": week_start(date)}
     )

@@ -72,9 +72,9 @@ def settle_dates(
 def with_catalogue_type(
     df: DataFrame, catalogue: DataFrame, code: str, catalogue_code: str, kind: str, name: str
 ) -> DataFrame:
-    """The catalogue's type of a code; one catalogue row per code."""
+    """The catalogue's type of a code."""
     small = catalogue.select(catalogue_code, F.col(kind).alias(name))
-    return lookup(df, small, [(code, catalogue_code)], one_row_by=[name])
+    return lookup(df, small, [(code, catalogue_code)])
 
 
 def supplement_by_keys(
