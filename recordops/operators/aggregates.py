@@ -119,15 +119,18 @@ def extent(df: DataFrame, lat: str, lon: str) -> DataFrame:
     )
 
 
-def stage_counts(stages: dict[str, DataFrame], stage: str = "stage", n: str = "records") -> DataFrame:
-    """Rows of each stage of a pipeline, in order, empty stages included."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias(n)).select(
-            F.lit(i).alias("position"), F.lit(name).alias(stage), n
+def stage_counts(
+    df: DataFrame, stages: dict[str, Column], stage: str = "stage", n: str = "records"
+) -> DataFrame:
+    """Rows of each stage of a pipeline, in order, from one pass.
+
+    A stage is the condition its rows meet; empty stages are listed with 0.
+    """
+    counts = df.agg(*[F.count_if(c).alias(f"_{i}") for i, c in enumerate(stages.values(), 1)])
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"), F.lit(name).alias(stage), F.col(f"_{i}").alias(n)
         )
-        for i, (name, df) in enumerate(stages.items(), 1)
+        for i, name in enumerate(stages, 1)
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return counts.select(F.inline(F.array(*rows)))

@@ -53,39 +53,73 @@ def keep_groups(df: DataFrame, keys: list[str], condition: Column) -> DataFrame:
     return df.join(chosen, on, "left_semi")
 
 
-def row_ids(df: DataFrame, order_by: list[ColumnOrName], name: str = "row_id") -> DataFrame:
-    """Consecutive ids 1..n in a stated order.
+def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows sorted into ranges, with the number of their range and their place in it.
 
-    Rows are sorted into ranges, numbered inside each range, and the sizes of
-    the ranges before are added: no task sees more than its range. The sorted
-    rows are checkpointed once, because both the numbers and the sizes must come
-    from the same ranges. The order must be unique, which also keeps the ranges
-    even.
+    Checkpointed once: places and range sizes must come from the same ranges. The
+    order must be unique, which also keeps the ranges even.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    order = nulls_last(*order_by)
-    local = F.monotonically_increasing_id()
+    checkpoint_dir(df.sparkSession)
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumns({"_place": local})
+        .withColumn("_place", F.monotonically_increasing_id())
         .checkpoint()
     )
-    ranged = ranged.withColumns(
+    return ranged.withColumns(
         {
             "_range": F.shiftright("_place", 33),
             "_place": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),
         }
     )
-    # One row per range, at most as many as there were tasks.
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _earlier_ranges(sizes: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in the ranges before; `sizes` is at most a few rows per range."""
+    earlier = Window.partitionBy(*keys).orderBy("_range")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
-    starts = sizes.select(F.col("_range").alias("_r"), before.alias("_before"))
-    out = ranged.join(F.broadcast(starts), F.col("_range") == F.col("_r"))
-    number = F.col("_before") + F.col("_place") + 1
-    return out.select(*df.columns, number.alias(name))
+    return sizes.withColumn("_before", before).drop("_size")
+
+
+def row_ids(df: DataFrame, order_by: list[ColumnOrName], name: str = "row_id") -> DataFrame:
+    """Consecutive ids 1..n in a stated, unique order.
+
+    Rows are sorted into ranges, and the sizes of the ranges before are added to
+    the place inside the range, so no task sees more than its own range.
+    """
+    ranged = _ranges(df, nulls_last(*order_by))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    # One row per range.
+    out = ranged.join(F.broadcast(_earlier_ranges(sizes, [])), "_range")
+    return out.select(*df.columns, (F.col("_before") + F.col("_place") + 1).alias(name))
+
+
+def rank_within(
+    df: DataFrame, keys: list[str], order_by: list[ColumnOrName], rank: str = "rank"
+) -> DataFrame:
+    """Rank of every row in its group, in a stated, unique order.
+
+    For ranks without an upper limit: a hot group lies in many ranges, each
+    ranked by itself. Only the group a range begins with can have rows in an
+    earlier range, so the rows to add are known from one group per range.
+    """
+    ranged = _ranges(df, [*nulls_last(*keys), *nulls_last(*order_by)])
+    whole = Window.partitionBy("_range", *keys)
+    ranged = ranged.withColumn("_first", F.min("_place").over(whole))
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    heads = ranged.filter((F.col("_place") == 0) & (F.col("_range") > 0))
+    heads = heads.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    # One group per range at most.
+    spread = ranged.join(F.broadcast(heads), on, "left_semi")
+    sizes = spread.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_size"))
+    before = _earlier_ranges(sizes, keys).filter(F.col("_before") > 0)
+    before = before.withColumnsRenamed({**names, "_range": "_range_2"})
+    on = [F.col("_range") == F.col("_range_2"), *on]
+    out = ranged.join(F.broadcast(before), on, "left")
+    place = F.coalesce("_before", F.lit(0)) + F.col("_place") - F.col("_first") + 1
+    return out.select(*df.columns, place.alias(rank))
 
 
 def duplicate_group_ids(

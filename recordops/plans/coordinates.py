@@ -16,6 +16,7 @@ from recordops.functions.coordinates import (
 )
 from recordops.functions.nulls import holds
 from recordops.functions.text import is_number, lookup_value, number_or_null
+from recordops.operators.aggregates import stage_counts
 from recordops.operators.combine import stack
 from recordops.operators.joins import lookup, unmatched
 from recordops.operators.ranking import first_per_key
@@ -135,7 +136,7 @@ def coordinate_audit(df: DataFrame, lat: str, lon: str, **options) -> dict[str,
         "Perdidos": ~valid,
     }
     return {
-        "funnel": _stages_as_rows(read, stages),
+        "funnel": stage_counts(read, stages),
         "lost": lost,
         "causes": lost.groupBy("origin", "cause")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -143,21 +144,6 @@ def coordinate_audit(df: DataFrame, lat: str, lon: str, **options) -> dict[str,
     }
 
 
-def _stages_as_rows(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
-    counts = df.agg(*[F.count_if(c).alias(f"_{i}") for i, c in enumerate(stages.values(), 1)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(name).alias("stage"),
-                F.col(f"_{i}").alias("records"),
-            )
-            for i, name in enumerate(stages, 1)
-        ]
-    )
-    return counts.select(F.inline(rows))
-
-
 def audit_losses(
     df: DataFrame,
     final: DataFrame,
