@@ -71,8 +71,8 @@ def messy_places(t: Tables):
     UNION ALL SELECT 'final_valid', k, lat_num, lon_num FROM e WHERE part IN ('numeric_valid', 'text_valid')
 """)
 def i1_clean_coordinates(t: Tables):
-    parts = coordinates.clean_coordinates(messy_places(t), "lat", "lon")
-    return stack_labelled(parts, "part").select("part", "k", "lat_num", "lon_num")
+    tables = coordinates.coordinate_tables(messy_places(t), "lat", "lon")
+    return tables.select("part", "k", "lat_num", "lon_num")
 
 
 @query(MESSY + """
@@ -525,7 +525,7 @@ TEAMS = """
       count(DISTINCT CASE WHEN position = 'HOUSEHOLD' THEN c_custkey END) AS HOUSEHOLD, count(DISTINCT CASE WHEN position = 'MACHINERY' THEN c_custkey END) AS MACHINERY
       FROM people GROUP BY 1, 2),
     d AS (SELECT *, least(AUTOMOBILE, BUILDING, FURNITURE, HOUSEHOLD, MACHINERY) AS teams FROM c),
-    f AS (SELECT *, list_filter(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], (x, i) -> [AUTOMOBILE, BUILDING, FURNITURE, HOUSEHOLD, MACHINERY][i] - teams < 1) AS spent,
+    f AS (SELECT *, list_filter(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], lambda x, i: [AUTOMOBILE, BUILDING, FURNITURE, HOUSEHOLD, MACHINERY][i] - teams < 1) AS spent,
         CAST(CASE WHEN AUTOMOBILE + BUILDING + FURNITURE + HOUSEHOLD + MACHINERY > 5 * teams THEN 1 ELSE 0 END AS INTEGER) AS incomplete FROM d),
     g AS (SELECT *, CASE WHEN len(spent) = 5 THEN '' ELSE array_to_string(spent, ', ') END AS roles_without_surplus FROM f)
 """

@@ -375,8 +375,7 @@ def places(t: Tables):
         WHEN 'FURNITURE' THEN -100.26 WHEN 'HOUSEHOLD' THEN NULL ELSE CAST(lon AS DOUBLE) END AS lon_num FROM p
 """)
 def h25_coordinates_from_text(t: Tables):
-    lat, lon = coordinates.coordinates_from_text("lat", "lon")
-    return places(t).select("k", lat.alias("lat_num"), lon.alias("lon_num"))
+    return coordinates.coordinates_from_text(places(t), "lat", "lon").drop("lat", "lon")
 
 
 POINTS = """

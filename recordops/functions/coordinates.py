@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordops import fixed_values as fixed
 from recordops.functions.nulls import ColumnOrName, col
 from recordops.functions.text import extract, first_number, squish
+from recordops.operators.columns import computed_once
 
 
 @dataclass(frozen=True)
@@ -29,8 +30,10 @@ class Bounds:
 
 def dms_to_decimal(c: ColumnOrName) -> Column:
     """Degrees, minutes and seconds as a decimal, south and west negative."""
-    text = squish(c)
+    return _decimal(squish(c))
 
+
+def _decimal(text: Column) -> Column:
     def part(group: int) -> Column:
         return extract(text, fixed.DMS_PATTERN, group).try_cast("double")
 
@@ -43,28 +46,41 @@ def dms_to_decimal(c: ColumnOrName) -> Column:
     return size * sign.otherwise(1.0)
 
 
-def coordinates_from_text(lat: ColumnOrName, lon: ColumnOrName) -> tuple[Column, Column]:
+def coordinates_from_text(
+    df: DataFrame, lat: str, lon: str, lat_name: str = "lat_num", lon_name: str = "lon_num"
+) -> DataFrame:
     """Latitude and longitude from free text; the first rule that fits wins.
 
     1. the longitude field holds a pair of numbers, 2. the latitude field holds
     two values in degrees, 3. the field holds one value in degrees, 4. the first
     number of the field.
     """
-    lat_text, lon_text = squish(lat), squish(lon)
-    has_pair = lon_text.rlike(fixed.NUMBER_PAIR_PATTERN)
-    has_two = lat_text.rlike(fixed.DMS_PAIR_PATTERN)
+    pair, two = fixed.NUMBER_PAIR_PATTERN, fixed.DMS_PAIR_PATTERN
+    out = computed_once(df, _lat=squish(lat), _lon=squish(lon))
+    has_two = F.col("_lat").rlike(two)
+
+    def degrees(text: str, half: int) -> Column:
+        """The text to read in degrees, NULL when rule 4 applies."""
+        marked = F.when(F.col(text).rlike(fixed.DMS_MARK_PATTERN), F.col(text))
+        return F.when(has_two, F.regexp_extract("_lat", two, half)).otherwise(marked)
+
+    out = computed_once(
+        out,
+        _pair=F.col("_lon").rlike(pair),
+        _lat_dms=degrees("_lat", 1),
+        _lon_dms=degrees("_lon", 2),
+    )
 
-    def read(text: Column, group: int) -> Column:
-        pair = extract(lon_text, fixed.NUMBER_PAIR_PATTERN, group).try_cast("double")
-        half = dms_to_decimal(F.regexp_extract(lat_text, fixed.DMS_PAIR_PATTERN, group))
+    def read(text: str, half: int) -> Column:
+        dms = F.col(f"{text}_dms")
         return (
-            F.when(has_pair, pair)
-            .when(has_two, half)
-            .when(text.rlike(fixed.DMS_MARK_PATTERN), dms_to_decimal(text))
+            F.when(F.col("_pair"), extract("_lon", pair, half).try_cast("double"))
+            .when(dms.isNotNull(), _decimal(dms))
             .otherwise(first_number(text))
         )
 
-    return read(lat_text, 1), read(lon_text, 2)
+    out = computed_once(out, **{lat_name: read("_lat", 1), lon_name: read("_lon", 2)})
+    return out.drop("_lat", "_lon", "_pair", "_lat_dms", "_lon_dms")
 
 
 def force_west(lon: ColumnOrName) -> Column:

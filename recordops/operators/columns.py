@@ -51,6 +51,16 @@ def apply_each(df: DataFrame, names: list[str], f: Callable[[Column], Column]) -
     return df.withColumns({c: f(F.col(c)) for c in names})
 
 
+def computed_once(df: DataFrame, **values: Column) -> DataFrame:
+    """Columns whose long expressions are worked out once per row.
+
+    Neighbouring projections and filters are merged by substitution, which would
+    repeat the expression for every use. A generated row is not merged.
+    """
+    row = F.struct(*[v.alias(n) for n, v in values.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def ensure_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Add the missing ones of the named columns as typed NULLs."""
     missing = {c: F.lit(None).cast(t) for c, t in types.items() if c not in df.columns}

@@ -15,8 +15,9 @@ from recordops.functions.coordinates import (
     untangle_axes,
 )
 from recordops.functions.nulls import holds
-from recordops.functions.text import is_number, lookup_value, number_or_null
+from recordops.functions.text import is_number, lookup_value
 from recordops.operators.aggregates import stage_counts
+from recordops.operators.columns import computed_once
 from recordops.operators.combine import stack
 from recordops.operators.joins import lookup, unmatched
 from recordops.operators.ranking import first_per_key
@@ -46,10 +47,16 @@ def read_coordinates(
     that are each in the range of the other before the check; the default keeps
     that exchange after it, where it finds nothing to do.
     """
-    out = df.withColumns({"_num": is_number(lat) & is_number(lon)})
-    west = force_west(number_or_null(lon))
-    lat_a, lon_a = untangle_axes(number_or_null(lat), west, bounds)
-    lat_b, lon_b = coordinates_from_text(lat, lon)
+    number = {a: F.trim(F.col(a).cast("string")).try_cast("double") for a in (lat, lon)}
+    out = coordinates_from_text(df, lat, lon, "_lat_text", "_lon_text")
+    out = computed_once(
+        out,
+        _num=is_number(lat) & is_number(lon),
+        _lat=number[lat],
+        _lon=force_west(number[lon]),
+    )
+    lat_a, lon_a = untangle_axes("_lat", "_lon", bounds)
+    lat_b, lon_b = F.col("_lat_text"), F.col("_lon_text")
     if known_fixes:
         lon_a = _numeric_longitude(lat_a, lon_a)
         lat_b = F.coalesce(
@@ -58,13 +65,13 @@ def read_coordinates(
             lat_b,
         )
         lon_b = F.coalesce(lookup_value(lon, fixed.LONGITUDE_FIXES_BY_LONGITUDE), lon_b)
-    out = out.withColumns(
-        {
-            "origin": F.when(F.col("_num"), fixed.NUMERIC_ORIGIN).otherwise(fixed.TEXT_ORIGIN),
-            "lat_num": F.when(F.col("_num"), lat_a).otherwise(lat_b),
-            "lon_num": F.when(F.col("_num"), lon_a).otherwise(lon_b),
-        }
-    )
+    numeric = F.col("_num")
+    out = computed_once(
+        out,
+        origin=F.when(numeric, fixed.NUMERIC_ORIGIN).otherwise(fixed.TEXT_ORIGIN),
+        lat_num=F.when(numeric, lat_a).otherwise(lat_b),
+        lon_num=F.when(numeric, lon_a).otherwise(lon_b),
+    ).drop("_num", "_lat", "_lon", "_lat_text", "_lon_text")
     if swap_first:
         lat_s, lon_s = swap_reversed("lat_num", "lon_num", bounds)
         out = out.withColumns({"lat_num": lat_s, "lon_num": lon_s})
@@ -73,10 +80,20 @@ def read_coordinates(
             "is_valid": bounds.valid("lat_num", "lon_num"),
             "cause": failure_cause("lat_num", "lon_num", bounds),
         }
-    ).drop("_num")
+    )
+
+
+PARTS = (
+    "numeric_valid",
+    "numeric_review",
+    "text_valid",
+    "text_review",
+    "final_valid",
+    "final_review",
+)
 
 
-def clean_coordinates(
+def coordinate_tables(
     df: DataFrame,
     lat: str,
     lon: str,
@@ -84,32 +101,46 @@ def clean_coordinates(
     known_fixes: bool = True,
     review_missing_text: bool = True,
     swap_first: bool = False,
-) -> dict[str, DataFrame]:
-    """Valid and review tables of the numeric and the text rows, and the union.
+) -> DataFrame:
+    """The valid, review and final rows in one table, told apart by `part`.
 
-    Numeric rows with a missing axis go to no review unless the other axis is out
-    of range; `review_missing_text` off treats text rows the same way.
+    A valid row occurs twice: under its origin and in the final table, where
+    exchanged axes are put right. Numeric rows with a missing axis go to no
+    review unless the other axis is out of range; `review_missing_text` off
+    treats text rows the same way.
     """
     read = read_coordinates(df, lat, lon, bounds, known_fixes, swap_first)
     numeric = F.col("origin") == fixed.NUMERIC_ORIGIN
     valid, bad = F.col("is_valid"), ~F.col("is_valid")
     text_bad = ~holds(valid) if review_missing_text else bad
     lat_s, lon_s = swap_reversed("lat_num", "lon_num", bounds)
-    final = read.filter(valid).withColumns({"lat_num": lat_s, "lon_num": lon_s})
-    final = final.withColumns(
-        {
-            "is_valid": bounds.valid("lat_num", "lon_num"),
-            "cause": failure_cause("lat_num", "lon_num", bounds),
-        }
+    own = (
+        F.when(numeric & valid, "numeric_valid")
+        .when(numeric & bad, "numeric_review")
+        .when(~numeric & valid, "text_valid")
+        .when(~numeric & text_bad, "text_review")
     )
-    return {
-        "numeric_valid": read.filter(numeric & valid),
-        "numeric_review": read.filter(numeric & bad),
-        "text_valid": read.filter(~numeric & valid),
-        "text_review": read.filter(~numeric & text_bad),
-        "final_valid": final.filter("is_valid"),
-        "final_review": final.filter("not is_valid"),
-    }
+    final = F.when(bounds.valid(lat_s, lon_s), "final_valid").otherwise("final_review")
+
+    def entry(part: Column, lat: Column, lon: Column) -> Column:
+        cause = failure_cause(lat, lon, bounds)
+        return F.struct(
+            part.alias("part"), lat.alias("lat_num"), lon.alias("lon_num"), cause.alias("cause")
+        )
+
+    entries = F.array_compact(
+        F.array(
+            F.when(own.isNotNull(), entry(own, F.col("lat_num"), F.col("lon_num"))),
+            F.when(valid, entry(final, lat_s, lon_s)),
+        )
+    )
+    return read.select(*df.columns, "origin", F.inline(entries))
+
+
+def clean_coordinates(df: DataFrame, lat: str, lon: str, **options) -> dict[str, DataFrame]:
+    """The parts of `coordinate_tables` by name."""
+    tables = coordinate_tables(df, lat, lon, **options)
+    return {p: tables.filter(F.col("part") == p).drop("part") for p in PARTS}
 
 
 def coordinate_audit(df: DataFrame, lat: str, lon: str, **options) -> dict[str, DataFrame]:
