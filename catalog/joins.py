@@ -138,8 +138,8 @@ def stays(t: Tables):
 def c11_interval_join(t: Tables):
     keys = [("l_orderkey", "o_orderkey")]
     covered = ops.covered_by_interval(t.lineitem, stays(t), keys, "l_shipdate", "s", "e")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")
-    return covered.select("l_orderkey", day).distinct()
+    days = covered.select("l_orderkey", F.col("l_shipdate").cast("date").alias("day")).distinct()
+    return days.withColumn("day", F.col("day").cast("string"))
 
 
 @query(STAYS + """
@@ -150,8 +150,9 @@ def c11_interval_join(t: Tables):
 def c12_interval_anti_join(t: Tables):
     keys = [("l_orderkey", "o_orderkey")]
     rest = ops.not_covered_by_interval(t.lineitem, stays(t), keys, "l_shipdate", "s", "e")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")
-    return frequency(rest.select("l_orderkey", day), ["l_orderkey", "day"])
+    rest = rest.select("l_orderkey", F.col("l_shipdate").cast("date").alias("day"))
+    days = frequency(rest, ["l_orderkey", "day"])
+    return days.withColumn("day", F.col("day").cast("string"))
 
 
 @query("""

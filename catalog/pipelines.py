@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from catalog.aggregates import CODED, coded
@@ -16,6 +18,7 @@ from recordops.operators.ranking import row_ids
 from recordops.operators.trend import local_regression
 from recordops.plans import candidates, coordinates, person_keys, reports, series
 from recordops.plans import supplements, teams
+from recordops.sources.readers import literal_table
 
 
 def n_rows():
@@ -244,9 +247,8 @@ def i5_supplement_by_interval(t: Tables):
     )
     dates = ["admitted", "discharged", "inserted"]
     both = supplements.settle_dates(both, dates, "inserted", "discharged")
-    catalogue = t.spark.createDataFrame(
-        [("1001", "Q"), ("1002", "T"), ("1003", "D")], "catalog_key string, kind string"
-    )
+    kinds = [("1001", "Q"), ("1002", "T"), ("1003", "D")]
+    catalogue = literal_table(t.spark, kinds, "catalog_key string, kind string")
     done = supplements.with_catalogue_type(both, catalogue, "code", "catalog_key", "kind", "kind")
     return done.groupBy("source", "kind", "code", F.year("inserted").alias("year")).agg(
         n_rows().alias("n"), F.count_distinct("event").alias("events")
@@ -531,10 +533,10 @@ TEAMS = """
 """
 
 
-def rich_people(t: Tables):
+def rich_people(t: Tables, above: int = 9000):
     places = lookup(t.nation, t.region, [("n_regionkey", "r_regionkey")])
     people = lookup(t.customer, places, [("c_nationkey", "n_nationkey")])
-    return people.filter(F.col("c_acctbal") > 9000).select(
+    return people.filter(F.col("c_acctbal") > above).select(
         "c_custkey",
         "c_acctbal",
         F.col("r_name").alias("state"),
@@ -543,9 +545,9 @@ def rich_people(t: Tables):
     )
 
 
-def formed_teams(t: Tables):
+def formed_teams(t: Tables, above: int = 9000):
     return teams.form_teams(
-        rich_people(t), ["state", "cluster"], "position", "c_custkey", SEGMENTS
+        rich_people(t, above), ["state", "cluster"], "position", "c_custkey", SEGMENTS
     )
 
 
@@ -627,14 +629,14 @@ def i13_removed_with_reason(t: Tables):
     )
 
 
-@query(TEAMS + """
+@query(TEAMS.replace("c_acctbal > 9000", "c_acctbal > 9900") + """
     SELECT state, cluster, 'No arma team QX' AS forms_team, s_suppkey AS site, teams, roles_without_surplus FROM g
     LEFT JOIN (SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) ON n_name = cluster WHERE teams < 1
 """)
 def i14_missing_teams(t: Tables):
     sites = lookup(t.supplier, t.nation, [("s_nationkey", "n_nationkey")])
     sites = sites.select(F.col("n_name").alias("cluster"), F.col("s_suppkey").alias("site"))
-    missing = teams.missing_teams(formed_teams(t), sites, ["cluster"])
+    missing = teams.missing_teams(formed_teams(t, 9900), sites, ["cluster"])
     return missing.select("state", "cluster", "forms_team", "site", "teams", "roles_without_surplus")
 
 
@@ -703,7 +705,7 @@ def prepared(t: Tables):
         F.concat(F.lit("L"), F.col("o_orderkey")).alias("link"),
         (F.col("o_totalprice") > 100000).alias("works"),
     )
-    make = t.spark.createDataFrame
+    make = partial(literal_table, t.spark)
     clusters = [(f"F{i}", f"KF{i}", None, f"Sitio {i}") for i in range(1, 5)]
     balance = F.col("c_acctbal")
     cleaned = people.withColumn("key_clean", F.upper(F.regexp_replace("key", "[^A-Za-z0-9]", "")))

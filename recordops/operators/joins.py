@@ -20,7 +20,7 @@ from recordops.operators.ranking import first_per_key
 
 Keys = list[str | tuple[str, str]]
 
-DAYS_PER_BUCKET = 60
+STRETCH = 60
 
 
 def key_pairs(keys: Keys) -> list[tuple[str, str]]:
@@ -142,39 +142,38 @@ def cross_with(df: DataFrame, rows: list[dict]) -> DataFrame:
     return out.select(*df.columns, *[F.col(f"_row.{f}") for f in fields])
 
 
-def day_masks(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """Days covered by the intervals of a key, one bit per day.
+def covered_days(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """The days covered by the intervals of a key, without loss, in few rows.
 
-    Time is cut into stretches of 60 days, so that each (key, stretch) is one
-    row, however many intervals overlap there: the bits are or-ed before the
-    shuffle, and a hot key is spread over its stretches.
+    Time is cut into stretches of 60 days. The intervals of a key that start in
+    the same stretch become one row: a bit per covered day of the stretch, and
+    the last end, up to which every day after the stretch is covered. However
+    many intervals a key has, it keeps at most one row per stretch of the
+    calendar, and they are combined before the shuffle.
     """
-    day = {n: F.unix_date(F.col(n).cast("date")) for n in (start, end)}
-    bucket = {n: F.floor(day[n] / DAYS_PER_BUCKET) for n in (start, end)}
+    first, last = (F.unix_date(F.col(n).cast("date")) for n in (start, end))
+    base = (F.floor(first / STRETCH) * STRETCH).cast("int")
     spans = intervals.filter(F.col(start).cast("date") <= F.col(end).cast("date")).select(
-        *keys,
-        day[start].alias("_from"),
-        day[end].alias("_to"),
-        F.explode(F.sequence(bucket[start], bucket[end])).alias("_bucket"),
+        *keys, base.alias("_base"), (first - base).alias("_low"), last.alias("_last")
     )
-    base = F.col("_bucket") * DAYS_PER_BUCKET
-    low = F.greatest("_from", base) - base
-    high = F.least("_to", base + (DAYS_PER_BUCKET - 1)) - base
+    high = F.least(F.col("_last") - F.col("_base"), F.lit(STRETCH - 1))
     one = F.lit(1).cast("bigint")
-    run = F.call_function("shiftleft", one, (high - low + 1).cast("int")) - one
-    mask = F.call_function("shiftleft", run, low.cast("int"))
-    return spans.groupBy(*keys, "_bucket").agg(F.bit_or(mask).alias("_mask"))
+    run = F.call_function("shiftleft", one, high - F.col("_low") + 1) - one
+    mask = F.call_function("shiftleft", run, F.col("_low"))
+    return spans.groupBy(*keys, "_base").agg(
+        F.bit_or(mask).alias("_mask"), F.max("_last").alias("_last")
+    )
 
 
 def _interval_existence(left, intervals, keys, date, start, end, how) -> DataFrame:
     pairs = key_pairs(keys)
-    masks = day_masks(intervals, [r for _, r in pairs], start, end)
-    masks, names = _aliased(masks, pairs, null_safe=True)
+    days = covered_days(intervals, [r for _, r in pairs], start, end)
+    days, names = _aliased(days, pairs, null_safe=True)
     day = F.unix_date(F.col(date).cast("date"))
-    place = F.pmod(day, F.lit(DAYS_PER_BUCKET)).cast("int")
-    covered = F.call_function("shiftright", F.col("_mask"), place).bitwiseAND(F.lit(1)) == 1
-    same_stretch = F.floor(day / DAYS_PER_BUCKET) == F.col("_bucket")
-    return left.join(masks, _condition(pairs, names) & same_stretch & covered, how)
+    place = day - F.col("_base")
+    bit = F.call_function("shiftright", F.col("_mask"), place).bitwiseAND(F.lit(1)) == 1
+    covered = F.when(place < STRETCH, bit).otherwise(day <= F.col("_last"))
+    return left.join(days, _condition(pairs, names) & (place >= 0) & covered, how)
 
 
 def covered_by_interval(
@@ -182,8 +181,8 @@ def covered_by_interval(
 ) -> DataFrame:
     """Rows whose date lies in some interval [start, end] of the same keys (C11).
 
-    Dates have the precision of a day. Each row meets at most one row of the
-    other side, so overlapping intervals do not multiply anything.
+    Dates have the precision of a day. Nothing is multiplied: overlapping
+    intervals are combined first, and the join only tests existence.
     """
     return _interval_existence(left, intervals, keys, date, start, end, "left_semi")
 

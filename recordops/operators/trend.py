@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordops.operators.columns import computed_once
+
 
 def local_regression(
     df: DataFrame,
@@ -30,9 +32,7 @@ def local_regression(
     pts = pts.withColumn("_points", F.collect_list(point).over(whole))
     near = F.floor(F.size("_points") * F.lit(span) + F.lit(1e-5)).cast("int")
     distances = F.array_sort(F.transform("_points", lambda p: F.abs(p["x"] - at)))
-    pts = pts.withColumn(
-        "_h", F.try_element_at(distances, F.greatest(near, F.lit(1)))
-    )
+    pts = computed_once(pts, _h=F.try_element_at(distances, F.greatest(near, F.lit(1))))
 
     def sums(acc, p):
         d = (p["x"] - at) / F.col("_h")
@@ -46,7 +46,7 @@ def local_regression(
     zero = F.struct(
         *[F.lit(0.0).alias(k) for k in ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2")]
     )
-    pts = pts.withColumn("_m", F.aggregate("_points", zero, sums))
+    pts = computed_once(pts, _m=F.aggregate("_points", zero, sums))
     m = {k: F.col(f"_m.{k}") for k in ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2")}
     # With x measured from the point itself, the fitted value is the constant
     # term of the weighted normal equations, by Cramer's rule.

@@ -14,6 +14,7 @@ from recordops.operators.aggregates import sum_numeric
 from recordops.operators.combine import stack, stack_same
 from recordops.operators.joins import lookup, unmatched
 from recordops.operators.ranking import top_per_key
+from recordops.sources.readers import literal_table
 
 
 @dataclass(frozen=True)
@@ -210,9 +211,8 @@ def label_dictionary(facilities: DataFrame, facility: str, unit: str) -> DataFra
     """Value and shown text of every facility, the nation first."""
     text = F.concat_ws(" - ", facility, unit)
     shown = facilities.select(F.col(facility).alias("value"), text.alias("label"))
-    nation = facilities.sparkSession.createDataFrame(
-        [(fixed.NATIONAL, f"{fixed.NATIONAL} - {fixed.NATIONAL_NAME}")], "value string, label string"
-    )
+    first = (fixed.NATIONAL, f"{fixed.NATIONAL} - {fixed.NATIONAL_NAME}")
+    nation = literal_table(facilities.sparkSession, [first], "value string, label string")
     return nation.unionByName(shown)
 
 

@@ -139,6 +139,14 @@ def describe(df: DataFrame) -> DataFrame:
     return literal_table(df.sparkSession, rows, "position int, name string, type string")
 
 
-def literal_table(spark: SparkSession, rows: list, schema) -> DataFrame:
-    """A small table written in the code."""
-    return spark.createDataFrame(rows, schema)
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table written in the code.
+
+    Rows of literals, so that the optimiser knows the table is small.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
