@@ -35,7 +35,7 @@ def local_regression(
     pts = computed_once(pts, _h=F.try_element_at(distances, F.greatest(near, F.lit(1))))
 
     def sums(acc, p):
-        d = (p["x"] - at) / F.col("_h")
+        d = (p["x"] - at) / F.nullif(F.col("_h"), F.lit(0.0))
         closeness = F.lit(1.0) - F.pow(F.abs(d), F.lit(3.0))
         w = F.when(F.abs(d) < 1, F.pow(closeness, F.lit(3.0))).otherwise(F.lit(0.0))
         terms = {"s0": w, "s1": w * d, "s2": w * d * d, "s3": w * d * d * d}
