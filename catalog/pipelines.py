@@ -570,9 +570,9 @@ def i11_teams_of_fewer_positions(t: Tables):
 
 
 @query(TEAMS + """
-    SELECT c_custkey, g.state, g.cluster, coalesce(teams, 0) AS teams, coalesce(incomplete, 0) AS incomplete,
+    SELECT c_custkey, p.state, p.cluster, coalesce(teams, 0) AS teams, coalesce(incomplete, 0) AS incomplete,
       CAST(CASE WHEN teams >= 1 THEN 1 ELSE 0 END AS INTEGER) AS forms_team, coalesce(roles_without_surplus, '') AS roles_without_surplus
-    FROM (SELECT c_custkey, n_name AS cluster, r_name AS state FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) JOIN g USING (state, cluster)
+    FROM (SELECT c_custkey, n_name AS cluster, r_name AS state FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) p LEFT JOIN g USING (state, cluster)
 """)
 def i12_attach_teams(t: Tables):
     places = lookup(t.nation, t.region, [("n_regionkey", "r_regionkey")])

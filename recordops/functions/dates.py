@@ -63,3 +63,22 @@ def local_time(df: DataFrame, name: str, zone: str = LOCAL_ZONE) -> Column:
 
 def local_year(df: DataFrame, name: str, zone: str = LOCAL_ZONE) -> Column:
     return F.year(local_time(df, name, zone))
+
+
+def in_local_year(df: DataFrame, name: str, year: int, zone: str = LOCAL_ZONE) -> Column:
+    """Rows of one year by the local clock.
+
+    For dates and times this is a range of the column itself, so that the scan
+    can skip files and row groups.
+    """
+    kind = dict(df.dtypes)[name]
+    if kind == "timestamp":
+        first, after = (
+            F.make_timestamp_ltz(*[F.lit(p) for p in (y, 1, 1, 0, 0, 0)], F.lit(zone))
+            for y in (year, year + 1)
+        )
+    elif kind in ("timestamp_ntz", "date"):
+        first, after = (F.lit(dt.date(y, 1, 1)).cast(kind) for y in (year, year + 1))
+    else:
+        return local_year(df, name, zone) == year
+    return (F.col(name) >= first) & (F.col(name) < after)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordops.functions.nulls import ColumnOrName, nulls_last
-from recordops.session import checkpoint_dir
+from recordops.session import scratch_dir
 
 
 def top_per_key(
@@ -56,17 +56,15 @@ def keep_groups(df: DataFrame, keys: list[str], condition: Column) -> DataFrame:
 def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
     """Rows sorted into ranges, with the number of their range and their place in it.
 
-    Checkpointed once: places and range sizes must come from the same ranges. The
-    order must be unique, which also keeps the ranges even.
+    Written once to the shared folder: places and range sizes must come from the
+    same ranges, also when an executor is lost. The order must be unique, which
+    also keeps the ranges even.
     """
-    checkpoint_dir(df.sparkSession)
-    ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    return ranged.withColumns(
+    spark = df.sparkSession
+    path = scratch_dir(spark, "ranges")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path).withColumns(
         {
             "_range": F.shiftright("_place", 33),
             "_place": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordops.fixed_values import LOCAL_ZONE
-from recordops.functions.dates import local_year
+from recordops.functions.dates import in_local_year, local_year
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
@@ -35,8 +35,10 @@ def split_year(
     Returns the row counts of both years and the kept rows. The year is that of
     the local clock of `zone`.
     """
-    dated = df.withColumn("_year", local_year(df, time, zone))
-    both = dated.filter(F.col("_year").isin(stored_year, kept_year))
-    counts = both.groupBy(F.col("_year").alias("year")).agg(F.count(F.lit(1)).alias("n"))
-    write_parquet(dated.filter(F.col("_year") == stored_year).drop("_year"), path)
-    return counts, dated.filter(F.col("_year") == kept_year).drop("_year")
+    stored, kept = (
+        df.filter(in_local_year(df, time, year, zone)) for year in (stored_year, kept_year)
+    )
+    write_parquet(stored, path)
+    both = stored.unionByName(kept)
+    years = both.groupBy(local_year(both, time, zone).alias("year"))
+    return years.agg(F.count(F.lit(1)).alias("n")), kept
