@@ -45,8 +45,9 @@ def month_number(c: ColumnOrName) -> Column:
 
 def month_start(year: ColumnOrName, month: ColumnOrName) -> Column:
     """First day of a month; NULL where a part is missing or wrong."""
-    text = F.format_string("%04d-%02d-01", col(year).cast("int"), col(month).cast("int"))
-    return F.when(col(year).isNotNull() & col(month).isNotNull(), text.try_cast("date"))
+    year, month = col(year).cast("int"), col(month).cast("int")
+    possible = year.between(1, 9999) & month.between(1, 12)
+    return F.when(possible, F.make_date(year, month, F.lit(1)))
 
 
 def local_time(df: DataFrame, name: str, zone: str = LOCAL_ZONE) -> Column:
