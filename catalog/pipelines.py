@@ -309,6 +309,41 @@ def i6_totals_by_source(t: Tables):
     return with_group_total(frequency(both, ["source"]), "source", "n")
 
 
+@query("""
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS visit_date,
+      CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'general' ELSE 'especialidad' END AS kind
+    FROM orders WHERE o_orderstatus <> 'P' AND year(o_orderdate) = 1999
+""")
+def i6_usable_consultations(t: Tables):
+    services = {"1-URGENT": "MG01", "2-HIGH": "PREC", "3-MEDIUM": "2201", "5-LOW": "3301"}
+    status = F.col("o_orderstatus")
+    late = t.orders.select(
+        "o_orderkey",
+        F.when(status == "P", fixed.NO_SHOW).when(status == "O", "Atendida").alias("status"),
+        lookup_value("o_orderpriority", services).alias("service"),
+        F.col("o_orderdate").cast("string").alias("time"),
+    )
+    out = supplements.usable_consultations(late, "status", "service", "time", 1999)
+    return out.select("o_orderkey", F.col("visit_date").cast("string").alias("visit_date"), "kind")
+
+
+@query("""
+    WITH v AS (SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d FROM orders)
+    SELECT 'inserted' AS rule, o_orderkey, strftime(d, '%Y-%m-%d') AS inserted FROM v WHERE o_orderstatus <> 'P' AND d <= DATE '1998-06-30'
+    UNION ALL SELECT 'any', o_orderkey, strftime(d, '%Y-%m-%d') FROM v WHERE d <= DATE '1998-06-30'
+""")
+def i6_dated_until(t: Tables):
+    inserted = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    visits = t.orders.select("o_orderkey", inserted.alias("inserted"), F.col("o_orderdate").alias("visited"))
+    cut = F.lit("1998-06-30").cast("date")
+    rules = {
+        name: supplements.dated_until(visits, "inserted", "visited", cut, required)
+        for name, required in (("inserted", True), ("any", False))
+    }
+    out = stack_labelled(rules, "rule").select("rule", "o_orderkey", "inserted")
+    return out.withColumn("inserted", F.col("inserted").cast("string"))
+
+
 def discharges(t: Tables):
     day = F.col("o_orderdate").cast("date").alias("discharged")
     base = t.orders.filter(F.col("o_orderstatus") == "F").select(
@@ -774,11 +809,10 @@ SLOTS = SLOTS.replace(
 ).replace("FROM nation, need LEFT JOIN u", "FROM nation CROSS JOIN need LEFT JOIN u")
 
 
-def allocated(t: Tables):
-    clusters = t.nation.select(F.col("n_name").alias("cluster"), F.col("n_regionkey").alias("region"))
+def slot_candidates(t: Tables):
     people = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
     balance = F.col("c_acctbal")
-    people = people.filter(balance > 9000).select(
+    return people.filter(balance > 9000).select(
         F.col("n_name").alias("cluster"),
         F.col("c_mktsegment").alias("position"),
         F.when(balance > 9500, "B1").otherwise("B2").alias("role"),
@@ -786,7 +820,11 @@ def allocated(t: Tables):
         F.col("c_name").alias("name"),
         F.col("c_custkey").cast("string").alias("key"),
     )
-    return candidates.allocate_slots(clusters, people, REQUIRED, second_choice=["B2"])
+
+
+def allocated(t: Tables):
+    clusters = t.nation.select(F.col("n_name").alias("cluster"), F.col("n_regionkey").alias("region"))
+    return candidates.allocate_slots(clusters, slot_candidates(t), REQUIRED, second_choice=["B2"])
 
 
 @query(SLOTS + """
@@ -843,6 +881,51 @@ def i17_unassigned(t: Tables):
     return allocated(t)["unassigned"].select("cluster", "position", "key", "name")
 
 
+@query(SLOTS + """
+    , done AS (SELECT n_name AS cluster, CAST(c_custkey AS VARCHAR) AS key, c_name AS name, 'complete' AS team
+               FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9850),
+    rest AS (SELECT cluster, key, name, position FROM slots s WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.cluster = s.cluster AND done.key = s.key))
+    SELECT cluster, key, name, position, NULL AS team FROM rest UNION ALL SELECT cluster, key, name, NULL, team FROM done
+""")
+def i17_with_complete_teams(t: Tables):
+    slots = allocated(t)["slots"].select("cluster", "key", "name", "position")
+    members = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
+    members = members.filter(F.col("c_acctbal") > 9850).select(
+        F.col("n_name").alias("cluster"),
+        F.col("c_custkey").cast("string").alias("key"),
+        F.col("c_name").alias("name"),
+        F.lit("complete").alias("team"),
+    )
+    clusters = t.nation.select(F.col("n_name").alias("cluster"))
+    both = candidates.with_complete_teams(slots, members, clusters, ["cluster", "key", "name"])
+    return both["all"]
+
+
+@query(TEAMS + """
+    , done AS (SELECT DISTINCT cluster, c_custkey FROM people JOIN customer USING (c_custkey) WHERE c_acctbal > 9800),
+    n AS (SELECT cluster, least(BUILDING, FURNITURE, HOUSEHOLD, MACHINERY) AS teams FROM c)
+    SELECT p.cluster, p.c_custkey AS key, p.position, n.teams, (SELECT CAST(sum(teams) AS BIGINT) FROM n) AS all_teams
+    FROM people p JOIN n USING (cluster) WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.c_custkey = p.c_custkey)
+""")
+def i16_candidate_teams(t: Tables):
+    people = rich_people(t).withColumnsRenamed({"c_custkey": "key", "state": "cluster_state"})
+    complete = people.filter(F.col("c_acctbal") > 9800).select("cluster", "key")
+    made = candidates.candidate_teams(
+        people, complete, positions=SEGMENTS, needed=[s for s in SEGMENTS if s != "AUTOMOBILE"]
+    )
+    total = made["total"].scalar()
+    return made["base"].select("cluster", "key", "position", "teams", total.alias("all_teams"))
+
+
+@query(SLOTS + """
+    SELECT cluster, position, key FROM cand WHERE key NOT IN (SELECT key FROM slots WHERE filled)
+""")
+def i17_without_placed(t: Tables):
+    people = slot_candidates(t)
+    placed = allocated(t)["slots"].filter("filled").select("cluster", "key")
+    return candidates.without_placed(people, placed, placed).select("cluster", "position", "key")
+
+
 @query("""
     WITH s AS (SELECT r_name, n_name, n_nationkey, n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9950) AS inc,
                       n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000) AS com FROM nation JOIN region ON n_regionkey = r_regionkey)

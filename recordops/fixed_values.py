@@ -33,6 +33,7 @@ POSITIONS = [
     "Enfermeria quirurgica",
     "Chofer",
 ]
+TEAM_OF_CANDIDATES = ["Anestesiologia", "Cirugia", "Medicina General", "Enfermeria quirurgica"]
 POSITION_OF_ROLE = {
     "MG001": "Medicina General",
     "ME001": "Anestesiologia",

@@ -11,7 +11,15 @@ from recordops.functions.nulls import distinct_with_null, member, nulls_last, st
 from recordops.functions.text import recode
 from recordops.operators.aggregates import count_of_counts, frequency, ordered_text
 from recordops.operators.combine import stack
-from recordops.operators.joins import cross_with, flag_matches, lookup, matched, unmatched
+from recordops.operators.joins import (
+    cross_with,
+    flag_matches,
+    full_join,
+    lookup,
+    matched,
+    unmatched,
+    unmatched_on_shared,
+)
 from recordops.operators.ranking import (
     attach_group,
     duplicate_group_ids,
@@ -19,6 +27,7 @@ from recordops.operators.ranking import (
     top_per_key,
 )
 from recordops.plans.person_keys import recover_names, split_validated, validate_keys
+from recordops.plans.teams import form_teams
 
 
 def dedupe_by_status(
@@ -239,6 +248,58 @@ def candidates_by_position(candidates: DataFrame) -> DataFrame:
     return out.filter(F.col("position").isNotNull())
 
 
+def candidate_teams(
+    candidates: DataFrame,
+    complete_teams: DataFrame | None = None,
+    group: tuple[str, ...] = ("cluster_state", "cluster"),
+    positions: list[str] = tuple(fixed.POSITIONS),
+    needed: list[str] = tuple(fixed.TEAM_OF_CANDIDATES),
+) -> dict[str, DataFrame]:
+    """Candidates with the teams their cluster can form, and all teams (I16).
+
+    Rows are counted, not persons. With `complete_teams`, candidates found there
+    on all shared columns are left out after the teams are counted.
+    """
+    group = list(group)
+    formed = form_teams(
+        candidates, group, "position", "key", list(positions), list(needed), distinct=False
+    ).select(*group, "teams")
+    base = lookup(candidates, formed, group)
+    if complete_teams is not None:
+        base = unmatched_on_shared(base, complete_teams)
+    total = formed.agg(F.coalesce(F.sum("teams"), F.lit(0)).alias("teams"))
+    return {"base": base, "total": total}
+
+
+def without_placed(
+    candidates: DataFrame, placed: DataFrame, teams: DataFrame | None = None
+) -> DataFrame:
+    """Candidates not yet placed, by person, nor in the team of their cluster.
+
+    placed: `key`; teams: `cluster, key`. Keys are cleaned on both sides.
+    """
+    out = candidates.withColumn("key", clean_key("key"))
+    out = unmatched(out, placed.select(clean_key("key").alias("key")), ["key"])
+    if teams is None:
+        return out
+    members = teams.select("cluster", clean_key("key").alias("key"))
+    return unmatched(out, members, ["cluster", "key"])
+
+
+def with_complete_teams(
+    slots: DataFrame, complete_teams: DataFrame, clusters: DataFrame, keys: list[str]
+) -> dict[str, DataFrame]:
+    """Slots and the members of complete teams in one table.
+
+    Slots whose person already is in the cluster's complete team are dropped
+    first. `clusters_left_out` are those found in neither table.
+    """
+    people = complete_teams.withColumn("_key", clean_key("key"))
+    open_slots = unmatched(slots.withColumn("_key", clean_key("key")), people, ["cluster", "_key"])
+    everything = full_join(open_slots.drop("_key"), complete_teams, keys)
+    return {"all": everything, "clusters_left_out": unmatched(clusters, everything, ["cluster"])}
+
+
 def coverage(
     universe: DataFrame, complete: DataFrame, incomplete: DataFrame, by: str, cluster: str
 ) -> DataFrame:

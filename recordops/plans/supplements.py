@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordops import fixed_values as fixed
+from recordops.functions.codes import service_kind
 from recordops.functions.nulls import not_blank
 from recordops.functions.text import code_part, description_part
 from recordops.operators.columns import apply_each, shared_columns
@@ -34,6 +35,39 @@ def usable_late_rows(
     return late
 
 
+def usable_consultations(
+    late: DataFrame,
+    status: str,
+    service: str,
+    time: str,
+    year: int,
+    no_show: str = fixed.NO_SHOW,
+) -> DataFrame:
+    """Consultations that took place in a year, with `visit_date` and `kind`.
+
+    A missing status counts as kept; a time that cannot be read as not dated.
+    """
+    kept = late.filter(F.coalesce(F.col(status), F.lit("")) != no_show)
+    day = F.col(time).try_cast("timestamp_ntz").cast("date")
+    dated = kept.withColumns({"visit_date": day, "kind": service_kind(service)})
+    return dated.filter(F.year("visit_date") == year)
+
+
+def dated_until(
+    df: DataFrame, inserted: str, visited: str, cut: Column, require_inserted: bool = True
+) -> DataFrame:
+    """Rows inserted up to a cut date, both dates as dates.
+
+    A missing insertion date is replaced by the visit date, unless such rows are
+    left out, which is the default.
+    """
+    df = apply_each(df, [inserted, visited], lambda c: c.cast("date"))
+    if require_inserted:
+        df = df.filter(F.col(inserted).isNotNull())
+    df = df.withColumn(inserted, F.coalesce(inserted, visited))
+    return df.filter(F.col(inserted) <= cut)
+
+
 def supplement_by_interval(
     base: DataFrame,
     late: DataFrame,
