@@ -60,9 +60,8 @@ def c4_full_join(t: Tables):
 """)
 def c5_semi_join(t: Tables):
     orders = t.orders.filter(F.col("o_orderstatus") != "P")
-    return frequency(
-        ops.matched(t.lineitem, orders, [("l_orderkey", "o_orderkey")]), ["l_returnflag"]
-    )
+    kept = ops.matched(t.lineitem, orders, [("l_orderkey", "o_orderkey")], unique=True)
+    return frequency(kept, ["l_returnflag"])
 
 
 @query("""

@@ -466,8 +466,9 @@ def surgical_events(t: Tables):
     catalogue = t.part.select("p_partkey", lookup_value("p_type", kinds).alias("kind"))
     stays = t.orders.filter(F.col("o_orderstatus") != "P")
     classified = series.classify_procedures(
-        procedures, stays, catalogue, [("folio", "o_orderkey")], ("code", "p_partkey"), "day", "in_room"
-    )
+        procedures, stays, catalogue, [("folio", "o_orderkey")], ("code", "p_partkey"), "day", "in_room",
+        unique_stays=True,
+    )
     return series.summarise_events(classified, ["folio", "day"], "number", "in_room")
 
 

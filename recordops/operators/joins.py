@@ -9,13 +9,10 @@ first, so a key repeated many times travels once per map task.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordops.operators.columns import shared_columns
+from recordops.operators.columns import same_keys, shared_columns
 from recordops.operators.ranking import first_per_key
 
 Keys = list[str | tuple[str, str]]
@@ -37,28 +34,38 @@ def _aliased(right: DataFrame, pairs, null_safe: bool) -> tuple[DataFrame, list[
     return right, names
 
 
-def _condition(pairs, names) -> Column:
-    return reduce(and_, [F.col(l).eqNullSafe(F.col(n)) for (l, _), n in zip(pairs, names)])
+def _condition(left: DataFrame, right: DataFrame, pairs, names) -> Column:
+    return same_keys(left, right, [(l, n) for (l, _), n in zip(pairs, names)])
 
 
-def matched(left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool = True) -> DataFrame:
-    """Rows of the left whose keys occur on the right."""
-    return _existence(left, right, keys, null_safe, "left_semi")
+def matched(
+    left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool = True, unique: bool = False
+) -> DataFrame:
+    """Rows of the left whose keys occur on the right.
 
+    `unique` tells that the right has one row per key, which saves reducing it;
+    the result does not depend on it.
+    """
+    return _existence(left, right, keys, null_safe, unique, "left_semi")
 
-def unmatched(left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool = True) -> DataFrame:
+
+def unmatched(
+    left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool = True, unique: bool = False
+) -> DataFrame:
     """Rows of the left whose keys do not occur on the right.
 
     With `null_safe` off a missing key never matches, so such rows stay (C8, C10).
     """
-    return _existence(left, right, keys, null_safe, "left_anti")
+    return _existence(left, right, keys, null_safe, unique, "left_anti")
 
 
-def _existence(left, right, keys, null_safe, how) -> DataFrame:
+def _existence(left, right, keys, null_safe, unique, how) -> DataFrame:
     pairs = key_pairs(keys)
-    right = right.select(*[r for _, r in pairs]).distinct()
+    right = right.select(*[r for _, r in pairs])
+    if not unique:
+        right = right.distinct()
     right, names = _aliased(right, pairs, null_safe)
-    return left.join(right, _condition(pairs, names), how)
+    return left.join(right, _condition(left, right, pairs, names), how)
 
 
 def unmatched_on_shared(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -89,7 +96,7 @@ def lookup(
         order = [*left.columns, *[c for c in out.columns if c not in left.columns]]
         return out.select(*order)
     catalogue, names = _aliased(catalogue, pairs, null_safe)
-    return left.join(catalogue, _condition(pairs, names), how).drop(*names)
+    return left.join(catalogue, _condition(left, catalogue, pairs, names), how).drop(*names)
 
 
 def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -173,7 +180,7 @@ def _interval_existence(left, intervals, keys, date, start, end, how) -> DataFra
     place = day - F.col("_base")
     bit = F.call_function("shiftright", F.col("_mask"), place).bitwiseAND(F.lit(1)) == 1
     covered = F.when(place < STRETCH, bit).otherwise(day <= F.col("_last"))
-    return left.join(days, _condition(pairs, names) & (place >= 0) & covered, how)
+    return left.join(days, _condition(left, days, pairs, names) & (place >= 0) & covered, how)
 
 
 def covered_by_interval(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordops.functions.nulls import ColumnOrName, nulls_last
+from recordops.operators.columns import same_keys
 from recordops.session import scratch_dir
 
 
@@ -37,7 +38,7 @@ def attach_group(df: DataFrame, keys: list[str], **values: Column) -> DataFrame:
     names = {k: f"_key_{i}" for i, k in enumerate(keys)}
     totals = df.groupBy(*keys).agg(*[v.alias(n) for n, v in values.items()])
     totals = totals.withColumnsRenamed(names)
-    condition = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    condition = same_keys(df, totals, list(names.items()))
     return df.join(totals, condition, "left").drop(*names.values())
 
 
@@ -49,8 +50,7 @@ def keep_groups(df: DataFrame, keys: list[str], condition: Column) -> DataFrame:
     names = {k: f"_key_{i}" for i, k in enumerate(keys)}
     chosen = df.groupBy(*keys).agg(condition.alias("_keep")).filter("_keep")
     chosen = chosen.select(*keys).withColumnsRenamed(names)
-    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-    return df.join(chosen, on, "left_semi")
+    return df.join(chosen, same_keys(df, chosen, list(names.items())), "left_semi")
 
 
 def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -108,14 +108,15 @@ def rank_within(
     names = {k: f"_key_{i}" for i, k in enumerate(keys)}
     heads = ranged.filter((F.col("_place") == 0) & (F.col("_range") > 0))
     heads = heads.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
-    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
     # One group per range at most.
-    spread = ranged.join(F.broadcast(heads), on, "left_semi")
+    same = same_keys(ranged, heads, list(names.items()))
+    spread = ranged.join(F.broadcast(heads), same, "left_semi")
     sizes = spread.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_size"))
     before = _earlier_ranges(sizes, keys).filter(F.col("_before") > 0)
     before = before.withColumnsRenamed({**names, "_range": "_range_2"})
-    on = [F.col("_range") == F.col("_range_2"), *on]
-    out = ranged.join(F.broadcast(before), on, "left")
+    same = same_keys(ranged, before, list(names.items()))
+    same &= F.col("_range") == F.col("_range_2")
+    out = ranged.join(F.broadcast(before), same, "left")
     place = F.coalesce("_before", F.lit(0)) + F.col("_place") - F.col("_first") + 1
     return out.select(*df.columns, place.alias(rank))
 
@@ -131,8 +132,7 @@ def duplicate_group_ids(
     repeated = row_ids(counted.filter("_n > 1"), keys, name)
     names = {k: f"_key_{i}" for i, k in enumerate(keys)}
     repeated = repeated.withColumnsRenamed(names)
-    condition = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-    out = df.join(repeated, condition, "left")
+    out = df.join(repeated, same_keys(df, repeated, list(names.items())), "left")
     columns = [F.coalesce(name, F.lit(0)).alias(name)]
     if size is not None:
         columns.append(F.coalesce("_n", F.lit(1)).alias(size))

@@ -22,13 +22,14 @@ def classify_procedures(
     date: str,
     in_room: str,
     kind: str = "kind",
+    unique_stays: bool = False,
 ) -> DataFrame:
     """Procedures of known stays with type, category and week.
 
     `code` pairs the code column of the procedures with that of the catalogue,
-    whose type column is `kind`.
+    whose type column is `kind`; `unique_stays` tells that `keys` identify a stay.
     """
-    known = matched(procedures, stays, keys)
+    known = matched(procedures, stays, keys, unique=unique_stays)
     types = catalogue.select(code[1], kind)
     typed = lookup(known, types, [code])
     return typed.withColumns(
