@@ -27,8 +27,7 @@ def key_pairs(keys: Keys) -> list[tuple[str, str]]:
 def _aliased(right: DataFrame, pairs, null_safe: bool) -> tuple[DataFrame, list[str]]:
     """The right side with its keys under names that cannot clash."""
     names = [f"_right_{i}" for i in range(len(pairs))]
-    for (_, key), name in zip(pairs, names):
-        right = right.withColumnRenamed(key, name)
+    right = right.withColumnsRenamed({r: n for (_, r), n in zip(pairs, names)})
     if not null_safe:
         right = right.dropna(subset=names)
     return right, names
@@ -125,7 +124,9 @@ def flag_matches(
     return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
-def match_audit(left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool = False) -> DataFrame:
+def match_audit(
+    left: DataFrame, right: DataFrame, keys: Keys, null_safe: bool = False
+) -> DataFrame:
     """Total, matched and missing rows of the left, in one row."""
     hit = F.count_if(F.col("_hit"))
     return flag_matches(left, right, keys, "_hit", null_safe).agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordops import fixed_values as fixed
@@ -115,7 +115,8 @@ def prepare_candidates(
     df = lookup(df, clusters, ["facility"], one_row_by=["cluster"])
     df = df.filter(F.col("cluster").isNotNull())
     df = df.withColumn("cluster_state", F.coalesce("cluster_state", "state"))
-    same = ["cluster_state", "facility", "site_name", "key", "role_name", "role", "status", "cluster"]
+    same = ["cluster_state", "facility", "site_name", "key", "role_name", "role", "status"]
+    same.append("cluster")
     df = attach_group(df, same, n_duplicates=F.count(F.lit(1)))
     checked = validate_keys(df, "key", key_pattern, key_length)
     previous = previous_names.filter(F.col("name").isNotNull())
@@ -132,7 +133,9 @@ def prepare_candidates(
     }
 
 
-def required_slots(clusters: DataFrame, required: list[tuple] = fixed.REQUIRED_POSITIONS) -> DataFrame:
+def required_slots(
+    clusters: DataFrame, required: list[tuple] = fixed.REQUIRED_POSITIONS
+) -> DataFrame:
     """Every cluster with every required position.
 
     A position listed several times gets slots 1, 2, ..
@@ -188,7 +191,7 @@ def allocate_slots(
     needs = required_slots(clusters, required)
     allowed = F.col("status").isNull() | F.col("status").isin("", fixed.APPROVED)
     usable = candidates.filter(allowed & F.col("position").isNotNull())
-    usable = usable.filter(F.col("cluster").isNotNull() & ~F.col("cluster").isin("", fixed.NO_CLUSTER))
+    usable = usable.filter(~F.col("cluster").isin("", fixed.NO_CLUSTER))
     best = rank_candidates(usable, per_position, second_choice)
     best = best.select("cluster", "position", "slot", "role", "status", "name", "key")
     filled = lookup(needs, best, ["cluster", "position", "slot"])
@@ -200,9 +203,10 @@ def allocate_slots(
             "final_role": F.coalesce("role", "required_role"),
         }
     )
-    assigned = first_per_key(
-        filled.filter("filled").select("key", "cluster", "position"), ["key"], ["cluster", "position"]
-    ).withColumnsRenamed({"cluster": "assigned_cluster", "position": "assigned_position"})
+    assigned = filled.filter("filled").select("key", "cluster", "position")
+    assigned = first_per_key(assigned, ["key"], ["cluster", "position"]).withColumnsRenamed(
+        {"cluster": "assigned_cluster", "position": "assigned_position"}
+    )
     audit = lookup(usable, assigned, ["key"])
     placed = F.col("assigned_cluster").isNotNull()
     audit = audit.withColumns(

@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordops import fixed_values as fixed
-from recordops.functions.nulls import col, member, nulls_last, share_percent, strict_sum, sum_or_zero
+from recordops.functions.nulls import (
+    col,
+    nulls_last,
+    share_percent,
+    strict_sum,
+    sum_or_zero,
+)
 from recordops.functions.text import count_with_percent, extract, thousands
 from recordops.operators.aggregates import sum_numeric
 from recordops.operators.combine import stack, stack_same

@@ -21,14 +21,21 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_report(tables: dict[str, DataFrame], folder: str, kind: str = "parquet") -> dict[str, str]:
+def write_report(
+    tables: dict[str, DataFrame], folder: str, kind: str = "parquet"
+) -> dict[str, str]:
     """Several named tables, one folder each, below one report folder."""
     write = {"parquet": write_parquet, "csv": write_csv}[kind]
     return {name: write(df, f"{folder}/{name}") for name, df in tables.items()}
 
 
 def split_year(
-    df: DataFrame, time: str, stored_year: int, kept_year: int, path: str, zone: str = LOCAL_ZONE
+    df: DataFrame,
+    time: str,
+    stored_year: int,
+    kept_year: int,
+    path: str,
+    zone: str = LOCAL_ZONE,
 ) -> tuple[DataFrame, DataFrame]:
     """Store the rows of one year, return those of another.
 
