@@ -199,6 +199,7 @@ def allocate_slots(
     filled = filled.withColumns(
         {
             "filled": taken,
+            "candidate_source": F.when(taken, fixed.CANDIDATE_SOURCE),
             "occupation": F.when(taken, fixed.SLOT_FILLED).otherwise(fixed.SLOT_VACANT),
             "final_role": F.coalesce("role", "required_role"),
         }
