@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from recordops.session import scratch_dir
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-INVERSE = pow(BASE, -1, 1 << 64)
+OTHER_BASE = 0xD1342543DE82EF95
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,21 +65,26 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[first : first + offsets[-1]], offsets
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: int = BASE) -> np.ndarray:
-    """base**0 .. base**(n - 1) modulo 2**64."""
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)[:n]
+    """base**0 .. base**(n - 1) modulo 2**64; kept for the longest batch so far."""
+    if len(_powers.get(base, ())) < n:
+        out = np.full(max(n, 1 << 20), base, np.uint64)
+        out[0] = 1
+        _powers[base] = np.multiply.accumulate(out)
+    return _powers[base][:n]
 
 
 class RunHash:
     """Hashes of any runs of a sequence: equal runs have equal values wherever they stand."""
 
-    def __init__(self, values: np.ndarray):
+    def __init__(self, values: np.ndarray, base: int = BASE):
         n = len(values)
-        self.back = powers(n + 1, INVERSE)
+        self.back = powers(n + 1, pow(base, -1, 1 << 64))
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((values + np.uint64(1)) * powers(n), out=self.sums[1:])
+        np.cumsum((values + np.uint64(1)) * powers(n, base), out=self.sums[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordops.llm import byte_pairs, decontamination, license_notices, minhash_forest, token_files, warc
+from recordops.llm import byte_pairs, decontamination, license_notices, minhash_forest, suffix_sort, token_files, warc
 from recordops.llm.base import table
 
 
@@ -20,6 +20,10 @@ def op3_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op5_suffix_sort(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_sort.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 def op6_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
 
@@ -41,5 +45,5 @@ def op10_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.encode(table(spark, folder, "documents"), path, keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_license_notices, op6_minhash_forest, op7_warc, op9_token_files, op10_byte_pairs)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_license_notices, op5_suffix_sort, op6_minhash_forest, op7_warc, op9_token_files, op10_byte_pairs)}
 ORACLES: dict[str, str] = {}
