@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordops.llm import byte_pairs, decontamination, license_notices, minhash_forest, suffix_sort, token_files, warc
+from recordops.llm import byte_pairs, cross_polytope, decontamination, license_notices, minhash_forest, quality, suffix_sort, token_files, warc
 from recordops.llm.base import table
 
 
@@ -15,11 +15,20 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("items")
 
 
+def op2_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_polytope.search(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op3_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     found = license_notices.scan(table(spark, folder, "documents"))
     return found.drop("spans")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs)).select("doc_id", "quality_score", "quality_kept")
+
+
 def op5_suffix_sort(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_sort.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
@@ -45,5 +54,5 @@ def op10_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.encode(table(spark, folder, "documents"), path, keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_license_notices, op5_suffix_sort, op6_minhash_forest, op7_warc, op9_token_files, op10_byte_pairs)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_cross_polytope, op3_license_notices, op4_quality, op5_suffix_sort, op6_minhash_forest, op7_warc, op9_token_files, op10_byte_pairs)}
 ORACLES: dict[str, str] = {}
