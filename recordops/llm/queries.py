@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordops.llm import byte_pairs, cross_polytope, decontamination, license_notices, minhash_forest, quality, suffix_sort, token_files, warc
+from recordops.llm import (
+    block_labeller,
+    byte_pairs,
+    cross_polytope,
+    decontamination,
+    license_notices,
+    minhash_forest,
+    quality,
+    suffix_sort,
+    token_files,
+    warc,
+)
 from recordops.llm.base import table
 
 
@@ -44,6 +55,10 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", refers.alias("refers_to"))
 
 
+def op8_block_labeller(spark: SparkSession, folder: str) -> DataFrame:
+    return block_labeller.extract(table(spark, folder, "pages"))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     read = token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -54,5 +69,19 @@ def op10_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.encode(table(spark, folder, "documents"), path, keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_cross_polytope, op3_license_notices, op4_quality, op5_suffix_sort, op6_minhash_forest, op7_warc, op9_token_files, op10_byte_pairs)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_cross_polytope,
+        op3_license_notices,
+        op4_quality,
+        op5_suffix_sort,
+        op6_minhash_forest,
+        op7_warc,
+        op8_block_labeller,
+        op9_token_files,
+        op10_byte_pairs,
+    )
+}
 ORACLES: dict[str, str] = {}

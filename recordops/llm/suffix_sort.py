@@ -158,8 +158,8 @@ def cut_out(joined: DataFrame, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                text = memoryview(batch.column(3)[i].as_buffer())
-                found = batch.column(4)[i].values
+                text = memoryview(batch.column(2)[i].as_buffer())
+                found = batch.column(3)[i].values
                 start, count = found.field("start").to_pylist(), found.field("count").to_pylist()
                 n = len(start)
                 pieces = pa.array([bytes(text[s : s + c + size - 1]) for s, c in zip(start, count)], pa.binary())
@@ -220,16 +220,17 @@ def counted_buckets(pieces: DataFrame, size: int) -> DataFrame:
     return rows.filter("once").join(more, ["h1", "h2"]).select("key1", "key2", "start", F.lit(1).alias("count"))
 
 
-def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Each row with what is left of its text: id, bytes, bytes and runs removed, kept bytes and their digest.
+def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
+    """Each row with what is left of its text: id, bytes, bytes and runs removed, digest of the kept bytes, those bytes.
 
-    `size` is at least 72.
+    With `carry` the row as it came follows in a struct `row`, its text column null. `size` is at least 72.
     """
     if size < ANCHOR + 8:
         raise ValueError("strings must have 72 bytes at least")
     text = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
     keys = [F.xxhash64(id_column, text_column), F.xxhash64(text_column, F.lit(1), id_column)]
-    docs = docs.select(F.col(id_column).alias("id"), keys[0].alias("key1"), keys[1].alias("key2"), text.alias("text"))
+    row = F.struct(*(F.lit(None).cast(t).alias(c) if c == text_column else F.col(c) for c, t in docs.dtypes))
+    docs = docs.select(F.col(id_column).alias("id"), keys[0].alias("key1"), keys[1].alias("key2"), text.alias("text"), *[row.alias("row")] * carry)
     recur = anchored(docs, size, True).groupBy("anchor").count().filter("count > 1").select("anchor")
     segments = settle(anchored(docs, size, False).join(recur, "anchor"), "segments")
     kinds = segments.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct("key1", "key2", "start", "count")).alias("r"))
@@ -237,16 +238,17 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
     crowd = kinds.groupBy("anchor").agg(F.count("*").alias("crowd"), F.min("n").alias("least")).filter("crowd > 1 and least = 1").drop("least")
     asked = kinds.join(crowd, "anchor").select("r.*", "anchor", "crowd", (F.col("n") == 1).alias("once"))
     listed = asked.groupBy("key1", "key2").agg(F.collect_list(F.struct("anchor", "start", "count", "crowd", "once")).alias("wanted"))
-    cut = cut_out(docs.join(listed, ["key1", "key2"]).select("key1", "key2", "id", "text", "wanted"), size)
+    cut = cut_out(docs.join(listed, ["key1", "key2"]).select("key1", "key2", "text", "wanted"), size)
     pieces = settle(cut, "pieces")
     alone = sorted_buckets(pieces.filter(F.col("crowd") <= CROWDED), size).unionByName(counted_buckets(pieces.filter(F.col("crowd") > CROWDED), size))
     copies = segments.join(kinds.filter("n > 1").select("anchor", "whole"), ["anchor", "whole"]).select("key1", "key2", "start", "count")
     places = alone.unionByName(copies).groupBy("key1", "key2").agg(F.collect_list(F.struct("start", "count")).alias("places"))
-    joined = docs.join(places, ["key1", "key2"], "left").select("id", "text", "places")
+    joined = docs.join(places, ["key1", "key2"], "left").select("id", "text", "places", *["row"] * carry)
     kind = docs.schema["id"].dataType.simpleString()
+    carried = f", row {docs.schema['row'].dataType.simpleString()}" if carry else ""
 
     def run(batches):
-        names = [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+        names = [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *["row"] * carry]
         kinds_ = [pa.int64()] * 3 + [pa.string(), pa.binary()]
         for batch in batches:
             for a, b in slices(batch.column(1), 4 << 20):
@@ -265,9 +267,9 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                     spans = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
                     out.append((len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *(pa.array([r[k] for r in out], t) for k, t in enumerate(kinds_))], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *(pa.array([r[k] for r in out], t) for k, t in enumerate(kinds_)), *(c[a:b] for c in batch.columns[3:])], names=names)
 
-    return joined.mapInArrow(run, f"{id_column} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(run, f"{id_column} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary" + carried)
 
 
 def brute_force(texts: list[tuple], size: int = 200) -> dict:
