@@ -25,7 +25,7 @@ HEAD = struct.Struct("<4sIIII")
 WEIGHT_BITS, ID_BITS = 12, 16
 TOTAL_BITS = WEIGHT_BITS + ID_BITS
 PAIR_BITS = 18
-TOP, LEAST = np.uint64(48), np.uint64(1 << 32)
+TOP, EDGE, LEAST = np.uint64(48), np.uint64(1 << 48), np.uint64(1 << 32)
 U = np.uint64
 
 
@@ -37,8 +37,8 @@ class Mixture:
     """What both coder and decoder know of a block at a step."""
 
     def __init__(self, lanes: int):
-        self.one = np.zeros(1 << ID_BITS, np.int32)  # id << 2 | confidence, by the preceding id
-        self.two = np.zeros(1 << PAIR_BITS, np.int32)  # the same by the two preceding ids
+        self.one = np.zeros(1 << ID_BITS, np.int64)  # id << 2 | confidence, by the preceding id
+        self.two = np.zeros(1 << PAIR_BITS, np.int64)  # the same by the two preceding ids
         self.wins = np.tile(np.array([2, 2, 3, 1], np.int64), (32, 1))
         self.counts = np.zeros(1 << ID_BITS, np.int64)
         self.fresh: list[np.ndarray] = []
@@ -52,14 +52,17 @@ class Mixture:
             self.counts += np.bincount(ids, minlength=1 << ID_BITS)
         self.fresh = []
         seen = np.flatnonzero(self.counts)
-        self.share = np.zeros(1 << ID_BITS, np.int64)
-        self.below = np.zeros(1 << ID_BITS, np.int64)
+        # an id not seen yet takes one of 65,536 equal parts, numbered by the id itself
+        self.share = np.ones(1 << ID_BITS, np.int64)
+        self.below = np.arange(1 << ID_BITS)
+        self.unseen = np.full(1 << ID_BITS, 3, np.int64)  # the outcome of an id that no context has guessed
         if len(seen):
             got = self.counts[seen]
             part = 1 + got * ((1 << ID_BITS) - len(seen)) // got.sum()
             part[np.argmax(part)] += (1 << ID_BITS) - part.sum()
             self.share[seen] = part
             self.below[seen] = np.cumsum(part) - part
+            self.unseen[seen] = 2
             self.by_slot = np.repeat(seen, part)
 
     def weights(self):
@@ -72,28 +75,50 @@ class Mixture:
     def predict(self):
         first, second = self.before
         self.place = ((second * 40503 + first) * 2654435761 >> 13) & ((1 << PAIR_BITS) - 1)
-        a, b = self.two[self.place], self.one[first]
-        self.guess2, self.guess1 = a >> 2, b >> 2
-        self.sure2, self.sure1 = a & 3, b & 3
-        self.context = (self.sure2 << 2 | self.sure1 | (self.guess1 == self.guess2) << 4).astype(np.int64) << 2
+        self.old2, self.old1 = self.two[self.place], self.one[first]
+        self.guess2, self.guess1 = self.old2 >> 2, self.old1 >> 2
+        self.context = ((self.old2 & 3) << 4) + ((self.old1 & 3) << 2)
+        self.context += (self.guess1 == self.guess2) * 64
+
+    def interval(self, ids: np.ndarray, outcome: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the ids' intervals in units of the lanes' ranges."""
+        cell = self.context + outcome
+        part = self.part[cell]
+        guessed = outcome < 2
+        size = np.where(guessed, 1 << ID_BITS, self.share[ids]) * part
+        start = (self.from_[cell] << ID_BITS) + np.where(guessed, 0, self.below[ids]) * part
+        return unit * start.view(U), unit * size.view(U)
 
     def learn(self, ids: np.ndarray, outcome: np.ndarray):
-        for memory, place, guess, sure in ((self.two, self.place, self.guess2, self.sure2), (self.one, self.before[0], self.guess1, self.sure1)):
+        packed = ids << 2
+        for memory, place, guess, old in ((self.two, self.place, self.guess2, self.old2), (self.one, self.before[0], self.guess1, self.old1)):
             hit = guess == ids
-            kept = np.where(hit | (sure > 0), guess, ids)
-            memory[place] = kept << 2 | np.where(hit, np.minimum(sure + 1, 3), np.maximum(sure - 1, 0))
-        self.wins += np.bincount(self.context | outcome, minlength=128).reshape(32, 4) * 8
+            sure = old & 3
+            # right: one surer; wrong: one less sure, or replaced once not sure at all
+            memory[place] = np.where(hit, old + (sure < 3), np.where(sure > 0, old - 1, packed))
+        self.wins += np.bincount(self.context + outcome, minlength=128).reshape(32, 4) * 8
         heavy = self.wins.sum(1) > 1 << 20
         self.wins[heavy] = (self.wins[heavy] + 1) >> 1
         self.weights()
-        self.before[1] = self.before[0]
-        self.before[0] = ids
+        self.before = np.stack([ids, self.before[0]])
         self.fresh.append(ids)
         self.step += 1
         if self.step & (self.step - 1) == 0 or self.step % 32 == 0:
             self.frequencies()
 
 
+def leaving(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Lanes whose upper 16 bits are settled or whose range has become small."""
+    return ((low ^ (low + span)) < EDGE) | (span < LEAST)
+
+
+def shifted(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lanes after their upper 16 bits have left; a small range that straddles an edge is cut there."""
+    straddles = (low ^ (low + span)) >= EDGE
+    span = np.where(straddles, (~low + U(1)) & (LEAST - U(1)), span)
+    return low << U(16), span << U(16)
+
+
 def shape(n: int) -> tuple[int, int]:
     lanes = max(1, min(4096, n // 128))
     return lanes, -(-n // lanes)
@@ -114,27 +139,19 @@ def pack(ids: np.ndarray) -> bytes:
     at = np.zeros(lanes, np.int64)
     for s in grid:
         model.predict()
-        outcome = np.where(s == model.guess2, 0, np.where(s == model.guess1, 1, np.where(model.share[s] > 0, 2, 3)))
-        cell = model.context | outcome
-        part, start = model.part[cell], model.from_[cell] << ID_BITS
-        start = np.where(outcome == 2, start + part * model.below[s], np.where(outcome == 3, start + part * s, start))
-        size = np.where(outcome < 2, part << ID_BITS, np.where(outcome == 2, part * model.share[s], part))
-        unit = span >> U(TOTAL_BITS)
-        low += unit * start.astype(U)
-        span = unit * size.astype(U)
-        todo = np.arange(lanes)
-        while True:
-            a, b = low[todo], span[todo]
-            same = ((a ^ (a + b)) >> TOP) == 0
-            short = ~same & (b < LEAST)
-            move = same | short
-            if not move.any():
-                break
-            b = np.where(short, (~a + U(1)) & (LEAST - U(1)), b)[move]
-            a, todo = a[move], todo[move]
+        outcome = model.unseen[s]
+        outcome[s == model.guess1] = 1
+        outcome[s == model.guess2] = 0
+        start, span = model.interval(s, outcome, span >> U(TOTAL_BITS))
+        low += start
+        todo = np.flatnonzero(leaving(low, span))
+        while len(todo):
+            a = low[todo]
             words[todo, at[todo]] = a >> TOP
             at[todo] += 1
-            low[todo], span[todo] = a << U(16), b << U(16)
+            a, b = shifted(a, span[todo])
+            low[todo], span[todo] = a, b
+            todo = todo[leaving(a, b)]
         model.learn(s, outcome)
     for _ in range(4):
         words[np.arange(lanes), at] = low >> TOP
@@ -173,29 +190,23 @@ def unpack(block: bytes) -> np.ndarray:
         outcome = (weight >= edges[model.context + 1]).astype(np.int64)
         outcome += weight >= edges[model.context + 2]
         outcome += weight >= edges[model.context + 3]
-        cell = model.context | outcome
-        part, start = model.part[cell], edges[cell] << ID_BITS
-        rest = np.maximum(value - start, 0) // part
-        known = model.by_slot[np.minimum(rest, (1 << ID_BITS) - 1)] if model.step else rest
-        s = np.where(outcome == 0, model.guess2, np.where(outcome == 1, model.guess1, np.where(outcome == 2, known, rest)))
-        s = s.astype(np.int64)
-        start = np.where(outcome == 2, start + part * model.below[s], np.where(outcome == 3, start + part * s, start))
-        size = np.where(outcome < 2, part << ID_BITS, np.where(outcome == 2, part * model.share[s], part))
-        low += unit * start.astype(U)
-        span = unit * size.astype(U)
-        todo = np.arange(lanes)
-        while True:
-            a, b = low[todo], span[todo]
-            same = ((a ^ (a + b)) >> TOP) == 0
-            short = ~same & (b < LEAST)
-            move = same | short
-            if not move.any():
-                break
-            b = np.where(short, (~a + U(1)) & (LEAST - U(1)), b)[move]
-            a, todo = a[move], todo[move]
+        cell = model.context + outcome
+        rest = np.maximum(value - (edges[cell] << ID_BITS), 0) // model.part[cell]
+        s = np.where(outcome == 0, model.guess2, model.guess1)
+        plain = np.flatnonzero(outcome > 1)
+        s[plain] = np.minimum(rest[plain], (1 << ID_BITS) - 1)
+        plain = np.flatnonzero(outcome == 2)
+        if model.step:
+            s[plain] = model.by_slot[s[plain]]
+        start, span = model.interval(s, outcome, unit)
+        low += start
+        todo = np.flatnonzero(leaving(low, span))
+        while len(todo):
             code[todo] = code[todo] << U(16) | words[at[todo]]
             at[todo] += 1
-            low[todo], span[todo] = a << U(16), b << U(16)
+            a, b = shifted(low[todo], span[todo])
+            low[todo], span[todo] = a, b
+            todo = todo[leaving(a, b)]
         out[t] = s
         model.learn(s, outcome)
     ids = out.T.ravel()[:n]

@@ -27,7 +27,8 @@ from recordops.llm.base import slices
 from recordops.session import scratch_dir
 
 BLOCK_IDS = 1 << 20  # a block is closed once it holds so many; a document is never cut
-CACHED = 300_000
+CACHED = 500_000  # words in each of two generations of the cache
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
 @lru_cache(2)
@@ -37,27 +38,66 @@ def tokenizer(path: str):
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
-    return t, {}
+    return t, Words(t)
+
+
+class Words:
+    """Ids of words as little-endian 16-bit integers, in two generations, so that memory stays bounded."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.ids, self.old = tokenizer, {}, {}
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def learn(self, words: set[bytes]) -> None:
+        """Takes in words that are not cached: those of the generation before, then new ones."""
+        if len(self.ids) + len(words) > CACHED:
+            self.old, self.ids = self.ids, {}
+        for w in words.intersection(self.old):
+            self.ids[w] = self.old[w]
+        new = words.difference(self.ids)
+        # marks after a letter are tokens of their own, so the word without them is looked up
+        parts = {}
+        for w in new:
+            core = w.rstrip(MARKS)
+            if core and len(core) < len(w) and core[-1:].isalpha():
+                parts[w] = (core, w[len(core) :])
+        ask = list((new - parts.keys()).union(*parts.values()).difference(self.ids))
+        letters = [w for w in ask if w.decode("utf-8", "replace").isalpha()]
+        for lo in range(0, len(letters), 500):
+            self.learn_letters(letters[lo : lo + 500])
+        ask = [w for w in ask if w not in self.ids]
+        for w, e in zip(ask, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in ask], add_special_tokens=False)):
+            self.ids[w] = np.array(e.ids, "<u2").tobytes()
+        for w, (core, marks) in parts.items():
+            self.ids[w] = self.ids[core] + self.ids[marks]
+
+
+    def learn_letters(self, words: list[bytes]) -> None:
+        """Words of letters only, in one call: each gives ids of which the last one alone ends a word."""
+        ids = np.array(self.tokenizer.encode(b" ".join(words).decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2")
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(ends) == len(words):
+            whole = ids.tobytes()
+            for w, a, b in zip(words, [0, *ends], ends):
+                self.ids[w] = whole[2 * a : 2 * b]
 
 
 def encode_words(texts: list[bytes], path: str) -> list[bytes]:
     """Ids of each text as little-endian 16-bit integers.
 
     White space is never part of a token of this tokenizer and always ends one, so
-    a text's ids are those of its words one after the other; each distinct word is
-    given to the tokenizer once as long as the cache holds it.
+    a text's ids are those of its words one after the other; capitals are made small by
+    the tokenizer itself. Each distinct word is given to it once while the cache holds it.
     """
-    t, cache = tokenizer(path)
-    rows = [x.split() for x in texts]
-    new = set().union(*rows).difference(cache)
+    _, cache = tokenizer(path)
+    rows = [x.lower().split() for x in texts]
+    new = set().union(*rows).difference(cache.ids)
     if new:
-        if len(cache) + len(new) > CACHED:
-            cache.clear()
-            new = set().union(*rows)
-        words = list(new)
-        for w, e in zip(words, t.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)):
-            cache[w] = np.array(e.ids, "<u2").tobytes()
-    return [b"".join(map(cache.__getitem__, r)) for r in rows]
+        cache.learn(new)
+        if missing := set().union(*rows).difference(cache.ids):  # gone with the older generation
+            cache.learn(missing)
+    return [b"".join(map(cache.ids.__getitem__, r)) for r in rows]
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text", shards: int | None = None) -> None:
