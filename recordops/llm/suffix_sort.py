@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from recordops.llm.base import OTHER_BASE, RunHash, flat_bytes, settle, slices
 
-ANCHOR, CROWDED, BUCKET_BYTES = 64, 1024, 1 << 20
+ANCHOR, BUCKET_BYTES = 64, 1 << 20
+CROWDED = 8192  # segments of one bucket, each below 340 bytes, that a task sorts: less than 3 MB
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -45,11 +46,14 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     sample = np.concatenate([one, two])
     t = np.concatenate([text, np.zeros(3, text.dtype)]).astype(np.uint64)
     size = t.max() + np.uint64(1)
-    triples = (t[sample] * size + t[sample + 1]) * size + t[sample + 2]
+    heads = t[sample] * size + t[sample + 1]
+    if int(size) > 1 << 21:  # name the pairs first, so that a triple fits in 64 bits
+        heads = np.unique(heads, return_inverse=True)[1].astype(np.uint64)
+    triples = heads * size + t[sample + 2]
     kinds, names = np.unique(triples, return_inverse=True)
     if len(kinds) < len(sample) and depth > 1:
+        inner = suffix_order(names + 1, depth - 1)
         names = np.empty(len(sample), np.int64)
-        inner = suffix_order(np.unique(triples, return_inverse=True)[1] + 1, depth - 1)
         names[inner] = np.arange(len(sample))
         order = sample[inner]
     else:
@@ -64,8 +68,12 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     # merge: against place 1 compare (symbol, rank), against place 2 (symbol, symbol, rank)
     first, second = order[order % 3 == 1], order[order % 3 == 2]
     below = np.searchsorted(t[first] * wide + rank[first + 1], np.sort(by_one))
-    by_two = (t[rest] * size + t[rest + 1]) * wide + rank[rest + 2]
-    below += np.searchsorted((t[second] * size + t[second + 1]) * wide + rank[second + 2], by_two)
+    two_heads = t[second] * size + t[second + 1]
+    rest_heads = t[rest] * size + t[rest + 1]
+    if int(size) > 1 << 21:
+        both = np.unique(np.concatenate([two_heads, rest_heads]), return_inverse=True)[1].astype(np.uint64)
+        two_heads, rest_heads = both[: len(second)], both[len(second) :]
+    below += np.searchsorted(two_heads * wide + rank[second + 2], rest_heads * wide + rank[rest + 2])
     out = np.empty(n, np.int64)
     at = np.maximum.accumulate(below) + np.arange(len(rest))
     out[at] = rest
@@ -232,6 +240,7 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
     row = F.struct(*(F.lit(None).cast(t).alias(c) if c == text_column else F.col(c) for c, t in docs.dtypes))
     docs = docs.select(F.col(id_column).alias("id"), keys[0].alias("key1"), keys[1].alias("key2"), text.alias("text"), *[row.alias("row")] * carry)
     recur = anchored(docs, size, True).groupBy("anchor").count().filter("count > 1").select("anchor")
+    recur = settle(recur, "anchors")  # so that the join's sides are plain shuffles, which split at hot anchors
     segments = settle(anchored(docs, size, False).join(recur, "anchor"), "segments")
     kinds = segments.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct("key1", "key2", "start", "count")).alias("r"))
     kinds = settle(kinds, "segment-kinds")
