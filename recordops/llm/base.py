@@ -19,6 +19,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """Asks Spark for small batches of rows to Python, since rows may hold long texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again, so that lost executors cost no recomputation."""
     path = scratch_dir(df.sparkSession, name)
@@ -33,7 +39,7 @@ def row_key(id_column: str, text_column: str) -> Column:
     return F.unhex(F.md5(F.concat(name, F.lit("\n"), text)))
 
 
-def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose bytes add up to about `most`; a longer row stands alone."""
     sizes = byte_lengths(column)
     start = total = 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordops.llm.base import LOWER, NOT_BLANK, flat_bytes, slices, word_hashes, word_spans
+from recordops.llm.base import LOWER, NOT_BLANK, bounded, flat_bytes, slices, word_hashes, word_spans
 
 PATH, LAST, WORD, PLAIN = 48, 24, 16, 8
 INPUT, HIDDEN = PATH + LAST + WORD + PLAIN, 16
@@ -369,7 +369,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     def run(batches):
         for batch in batches:
-            for a, b in slices(batch.column(2), 2 << 20):
+            for a, b in slices(batch.column(2), 1 << 19):
                 found = [blocks(bytes(x.as_buffer()).decode("utf-8", "replace")) if x.is_valid else [] for x in batch.column(2)[a:b]]
                 chances = label(found, held.value)
                 texts = [" ".join(t[0] for t, p in zip(f, c) if p >= threshold) for f, c in zip(found, chances)]
@@ -381,4 +381,4 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"{id_column} {kind}, {url_column} string, text string, n_chars long" + ", blocks array<struct<text:string,path:string,main:double>>" * keep_blocks
-    return pages.select(F.col(id_column), F.col(url_column), F.col(html_column).cast("binary").alias("html")).mapInArrow(run, schema)
+    return bounded(pages).select(F.col(id_column), F.col(url_column), F.col(html_column).cast("binary").alias("html")).mapInArrow(run, schema)

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordops.llm.base import slices
+from recordops.llm.base import bounded, slices
 
 LETTER, NUMBER, OTHER, BLANK, SPACE, END = range(6)
 #: The code points of white space, and the endings that split off.
 WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
-CACHED = 300_000  # pieces in each of two generations of the cache
+CACHED = 120_000  # pieces in each of two generations of the cache
 
 
 @lru_cache(1)
@@ -199,5 +199,5 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
                 columns = [pa.array([r[k] for r in out], f[1]) for k, f in enumerate(fields + ids_field)]
                 yield pa.RecordBatch.from_arrays([names[a:b], *columns], names=[id_column, *(f[0] for f in fields + ids_field)])
 
-    named = docs.select(F.col(id_column), F.col(text_column).cast("binary").alias("text"))
+    named = bounded(docs).select(F.col(id_column), F.col(text_column).cast("binary").alias("text"))
     return named.mapInArrow(run, schema)

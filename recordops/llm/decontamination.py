@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordops.llm.base import ALNUM, LOWER, flat_bytes, row_key, settle, slices, word_hashes, word_spans, RunHash
+from recordops.llm.base import ALNUM, LOWER, bounded, flat_bytes, row_key, settle, slices, word_hashes, word_spans, RunHash
 
 SHINGLE = 5
 FILTER_BITS = 23  # one megabyte, whatever the size of the benchmark
@@ -66,7 +66,7 @@ def windows_of(items: DataFrame, id_column: str, text_column: str, window: int,
                 kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.struct([("hash", pa.int64()), ("size", pa.int32()), ("place", pa.int32())]))]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["item_id", "words", "size", "shingles"])
 
-    return items.select(F.col(id_column).cast("string"), F.col(text_column).cast("binary")).mapInArrow(run, SCHEMA_ITEM)
+    return bounded(items).select(F.col(id_column).cast("string"), F.col(text_column).cast("binary")).mapInArrow(run, SCHEMA_ITEM)
 
 
 def membership(windows: DataFrame) -> tuple[list[int], np.ndarray]:
@@ -129,7 +129,7 @@ def occurrences(docs: DataFrame, items: DataFrame, id_column="doc_id", text_colu
     windows = settle(windows_of(items, item_column, item_text, window, min(shingle, window)), "windows")
     sizes, packed = membership(windows)
     bits = spark.sparkContext.broadcast(packed)
-    keyed = docs.select(row_key(id_column, text_column).alias("_key"), F.col(text_column).alias("_text"))
+    keyed = bounded(docs).select(row_key(id_column, text_column).alias("_key"), F.col(text_column).alias("_text"))
     read = settle(segments_of(keyed, sizes, bits, window, "_text"), "segments")
     segment = read.filter(F.size("segments") > 0).select("_key", "n_words", F.explode("segments").alias("g"))
     tokens = segment.select("_key", "n_words", "g.start", "g.words", F.explode(F.arrays_zip("g.places", "g.hashes")).alias("t"))

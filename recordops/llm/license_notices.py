@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordops.llm.base import ALNUM, LOWER, flat_bytes, slices, word_spans
+from recordops.llm.base import ALNUM, LOWER, bounded, flat_bytes, slices, word_spans
 
 #: Base phrases and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -131,4 +131,4 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *columns], names=[id_column, *(f[0] for f in fields)])
 
     schema = f"{id_column} {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<start:long,end:long,label:string,edits:int>>"
-    return docs.select(F.col(id_column), F.col(text_column).cast("binary").alias("text")).mapInArrow(run, schema)
+    return bounded(docs).select(F.col(id_column), F.col(text_column).cast("binary").alias("text")).mapInArrow(run, schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from recordops.llm.base import LOWER, NOT_BLANK, RunHash, flat_bytes, row_key, settle, slices, word_hashes, word_spans
+from recordops.llm.base import LOWER, NOT_BLANK, RunHash, bounded, flat_bytes, row_key, settle, slices, word_hashes, word_spans
 from recordops.llm.components import components
 
 VALUES, ORDERS, DEPTH, NEAR = 64, 16, 4, 4
@@ -191,7 +191,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, word: np.ndarray, per
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, word: np.ndarray = NOT_BLANK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row for each row of `docs`: id, size of the set, smallest id of the component, whether the row's id is that one."""
-    keyed = docs.select(F.col(id_column).alias("id"), row_key(id_column, text_column).alias("_key"), F.col(text_column).alias("text"))
+    keyed = bounded(docs).select(F.col(id_column).alias("id"), row_key(id_column, text_column).alias("_key"), F.col(text_column).alias("text"))
     rows = settle(sketches(keyed, "text", size, word), "sketches")
     sets = rows.filter("n_shingles > 0 and id is not null")
     nodes = sets.groupBy("set1", "set2").agg(F.min(F.struct("id", "_key")).alias("r"), F.first("signature").alias("signature"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordops.llm.base import LOWER, NOT_BLANK, RunHash, flat_bytes, slices, word_hashes, word_spans
+from recordops.llm.base import LOWER, NOT_BLANK, RunHash, bounded, flat_bytes, slices, word_hashes, word_spans
 
 GOOD, BAD, NONE = 1, 2, 0
 WIDTH = 1 << 12  # hashed features
@@ -148,7 +148,7 @@ def train(model: Model, rows: list[tuple[float, np.ndarray, np.ndarray]], rounds
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> Model:
     """The labellers' accuracies from all rows, the scorer from a sample of about `sample` rows at most."""
-    rows = docs.select(F.col(id_column).cast("string").alias("id"), F.col(text_column).cast("binary").alias("text"))
+    rows = bounded(docs).select(F.col(id_column).cast("string").alias("id"), F.col(text_column).cast("binary").alias("text"))
 
     def vote(batches):
         for batch in batches:
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of `docs` with `quality_score` and `quality_kept`, which replace columns of those names."""
-    docs = docs.drop("quality_score", "quality_kept")
+    docs = bounded(docs).drop("quality_score", "quality_kept")
     held = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH weights, whatever the input
 
     @F.pandas_udf("double")

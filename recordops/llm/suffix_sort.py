@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordops.llm.base import OTHER_BASE, RunHash, flat_bytes, settle, slices
+from recordops.llm.base import OTHER_BASE, RunHash, bounded, flat_bytes, settle, slices
 
 ANCHOR, BUCKET_BYTES = 64, 1 << 20
 CROWDED = 8192  # segments of one bucket, each below 340 bytes, that a task sorts: less than 3 MB
@@ -238,7 +238,7 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
     text = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
     keys = [F.xxhash64(id_column, text_column), F.xxhash64(text_column, F.lit(1), id_column)]
     row = F.struct(*(F.lit(None).cast(t).alias(c) if c == text_column else F.col(c) for c, t in docs.dtypes))
-    docs = docs.select(F.col(id_column).alias("id"), keys[0].alias("key1"), keys[1].alias("key2"), text.alias("text"), *[row.alias("row")] * carry)
+    docs = bounded(docs).select(F.col(id_column).alias("id"), keys[0].alias("key1"), keys[1].alias("key2"), text.alias("text"), *[row.alias("row")] * carry)
     recur = anchored(docs, size, True).groupBy("anchor").count().filter("count > 1").select("anchor")
     recur = settle(recur, "anchors")  # so that the join's sides are plain shuffles, which split at hot anchors
     segments = settle(anchored(docs, size, False).join(recur, "anchor"), "segments")
@@ -260,7 +260,7 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
         names = [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *["row"] * carry]
         kinds_ = [pa.int64()] * 3 + [pa.string(), pa.binary()]
         for batch in batches:
-            for a, b in slices(batch.column(1), 4 << 20):
+            for a, b in slices(batch.column(1)):
                 out = []
                 for i in range(a, b):
                     data = bytes(batch.column(1)[i].as_buffer())

@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordops.llm import mixing_coder
-from recordops.llm.base import slices
+from recordops.llm.base import bounded, slices
 from recordops.session import scratch_dir
 
 BLOCK_IDS = 1 << 20  # a block is closed once it holds so many; a document is never cut
-CACHED = 500_000  # words in each of two generations of the cache
+CACHED = 400_000  # words in each of two generations of the cache
 MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
@@ -134,7 +134,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_column: str =
         if parts:
             yield close()
 
-    named = docs.select(F.col(id_column).alias("name"), F.col(text_column).cast("binary").alias("text"))
+    named = bounded(docs).select(F.col(id_column).alias("name"), F.col(text_column).cast("binary").alias("text"))
     ordered = named.repartitionByRange(n, F.col("name").asc_nulls_first()).sortWithinPartitions(F.col("name").asc_nulls_first(), "text")
     ordered.mapInArrow(run, f"shard int, block int, n_ids long, names array<{kind}>, sizes array<long>, ids binary").write.parquet(folder)
 

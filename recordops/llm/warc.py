@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordops.llm.base import settle, slices
+from recordops.llm.base import bounded, settle, slices
 from recordops.session import scratch_dir
 
 END = b"\r\n\r\n"
@@ -45,7 +45,7 @@ def records(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     Payloads of fewer than `least_bytes` bytes are stored each time.
     """
     html = F.coalesce(F.col(html_column), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), html.alias("payload"))
+    rows = bounded(pages).select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), html.alias("payload"))
     rows = rows.withColumn("digest", base32_of_hex(F.sha1("payload")))
     first = rows.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"))
     stored = (F.octet_length("payload") < least_bytes) | F.struct("page_id", "url").eqNullSafe(F.col("first"))
@@ -106,7 +106,7 @@ def write(rows: DataFrame, folder: str, archive_bytes: int = 64 << 20) -> DataFr
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in listed], k) for i, k in enumerate(kinds)], names=["page_id", "url", "digest", "path", "offset", "length"])
 
         for batch in batches:
-            for a, b in slices(batch.column(5), 4 << 20):
+            for a, b in slices(batch.column(5), 1 << 20):
                 for row in zip(*(c.to_pylist() for c in batch.slice(a, b - a).columns)):
                     if out is None:
                         path, offset, listed = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, []
