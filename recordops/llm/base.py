@@ -76,7 +76,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def powers(n: int, base: int = BASE) -> np.ndarray:
     """base**0 .. base**(n - 1) modulo 2**64; kept for the longest batch so far."""
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         out = np.full(max(n, 1 << 20), base, np.uint64)
         out[0] = 1
         _powers[base] = np.multiply.accumulate(out)
