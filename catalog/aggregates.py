@@ -289,13 +289,16 @@ def d21_ordered_text(t: Tables):
 
 
 @query("""
-    SELECT c_nationkey, count(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 END) AS BUILDING,
+    SELECT c_nationkey, count(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1 END) AS AUTOMOBILE,
+      count(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 END) AS BUILDING,
+      count(CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 END) AS FURNITURE,
+      count(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 END) AS HOUSEHOLD,
       count(CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 END) AS MACHINERY,
       count(CASE WHEN c_mktsegment = 'AIRCRAFT' THEN 1 END) AS AIRCRAFT
     FROM customer GROUP BY 1
 """)
 def d22_pivot(t: Tables):
-    segments = ["BUILDING", "MACHINERY", "AIRCRAFT"]
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "AIRCRAFT"]
     return ops.pivot_values(t.customer, ["c_nationkey"], "c_mktsegment", segments, n_rows())
 
 

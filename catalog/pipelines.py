@@ -543,8 +543,20 @@ def i10_month_labels(t: Tables):
     return series.month_labels(cube_series(t)).select("year", "origin", "label")
 
 
-# No SQL: the trend's formula is checked against SQL in d27 and by a test.
-@query()
+@query(CUBE + """,
+    t AS (SELECT origin AS series, CAST(m AS DATE) AS date, CAST(CAST(m AS DATE) - DATE '1970-01-01' AS DOUBLE) AS x, CAST(total AS DOUBLE) AS y FROM s),
+    n AS (SELECT *, count(*) OVER (PARTITION BY series) AS n FROM t),
+    pairs AS (SELECT a.series, a.date, a.x, a.n, b.x AS bx, b.y AS v, abs(b.x - a.x) AS d,
+                     row_number() OVER (PARTITION BY a.series, a.x ORDER BY abs(b.x - a.x), b.x) AS r
+              FROM n a JOIN n b USING (series)),
+    h AS (SELECT series, x, max(CASE WHEN r = floor(n * 0.35 + 1e-5) THEN d END) AS h FROM pairs GROUP BY 1, 2),
+    w AS (SELECT p.series, p.date, (bx - p.x) / h AS u, v, pow(1 - pow(abs((bx - p.x) / h), 3), 3) AS w
+          FROM pairs p JOIN h ON p.series = h.series AND p.x = h.x WHERE d < h),
+    k AS (SELECT series, date, sum(w) AS s0, sum(w*u) AS s1, sum(w*u*u) AS s2, sum(w*u*u*u) AS s3, sum(w*u*u*u*u) AS s4,
+                 sum(w*v) AS t0, sum(w*u*v) AS t1, sum(w*u*u*v) AS t2 FROM w GROUP BY 1, 2)
+    SELECT series AS origin, date, round((t0*(s2*s4-s3*s3) - s1*(t1*s4-s3*t2) + s2*(t1*s3-s2*t2))
+                    / (s0*(s2*s4-s3*s3) - s1*(s1*s4-s2*s3) + s2*(s1*s3-s2*s2)), 3) AS trend FROM k
+""")
 def i10_series_trend(t: Tables):
     monthly = cube_series(t).withColumn("day", F.unix_date("date"))
     fitted = local_regression(monthly, ["origin"], "day", "total")
@@ -556,8 +568,8 @@ def i10_series_trend(t: Tables):
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 TEAMS = """
-    WITH people AS (SELECT c_custkey, r_name AS state, n_name AS cluster, c_mktsegment AS position FROM customer
-        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > 9000),
+    WITH people AS (SELECT c_custkey, r_name AS state, n_name || '-' || c_custkey // 250 AS cluster, c_mktsegment AS position FROM customer
+        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
     c AS (SELECT state, cluster, count(DISTINCT CASE WHEN position = 'AUTOMOBILE' THEN c_custkey END) AS AUTOMOBILE,
       count(DISTINCT CASE WHEN position = 'BUILDING' THEN c_custkey END) AS BUILDING, count(DISTINCT CASE WHEN position = 'FURNITURE' THEN c_custkey END) AS FURNITURE,
       count(DISTINCT CASE WHEN position = 'HOUSEHOLD' THEN c_custkey END) AS HOUSEHOLD, count(DISTINCT CASE WHEN position = 'MACHINERY' THEN c_custkey END) AS MACHINERY
@@ -569,21 +581,26 @@ TEAMS = """
 """
 
 
-def rich_people(t: Tables, above: int = 9000):
+def small_cluster(nation: str, key: str, size: int):
+    """Clusters finer than a nation, as many as the keys ask for, so that some are short of a position."""
+    return F.concat_ws("-", nation, F.floor(F.col(key) / size).cast("string"))
+
+
+def team_people(t: Tables):
     places = lookup(t.nation, t.region, [("n_regionkey", "r_regionkey")])
     people = lookup(t.customer, places, [("c_nationkey", "n_nationkey")])
-    return people.filter(F.col("c_acctbal") > above).select(
+    return people.select(
         "c_custkey",
         "c_acctbal",
         F.col("r_name").alias("state"),
-        F.col("n_name").alias("cluster"),
+        small_cluster("n_name", "c_custkey", 250).alias("cluster"),
         F.col("c_mktsegment").alias("position"),
     )
 
 
-def formed_teams(t: Tables, above: int = 9000):
+def formed_teams(t: Tables):
     return teams.form_teams(
-        rich_people(t, above), ["state", "cluster"], "position", "c_custkey", SEGMENTS
+        team_people(t), ["state", "cluster"], "position", "c_custkey", SEGMENTS
     )
 
 
@@ -599,7 +616,7 @@ def i11_form_teams(t: Tables):
 """)
 def i11_teams_of_fewer_positions(t: Tables):
     formed = teams.form_teams(
-        rich_people(t), ["state", "cluster"], "position", "c_custkey", SEGMENTS,
+        team_people(t), ["state", "cluster"], "position", "c_custkey", SEGMENTS,
         needed=["BUILDING", "FURNITURE", "MACHINERY"], distinct=False,
     )
     return formed.select("state", "cluster", "teams")
@@ -608,12 +625,12 @@ def i11_teams_of_fewer_positions(t: Tables):
 @query(TEAMS + """
     SELECT c_custkey, p.state, p.cluster, coalesce(teams, 0) AS teams, coalesce(incomplete, 0) AS incomplete,
       CAST(CASE WHEN teams >= 1 THEN 1 ELSE 0 END AS INTEGER) AS forms_team, coalesce(roles_without_surplus, '') AS roles_without_surplus
-    FROM (SELECT c_custkey, n_name AS cluster, r_name AS state FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) p LEFT JOIN g USING (state, cluster)
+    FROM (SELECT c_custkey, n_name || '-' || c_custkey // 250 AS cluster, r_name AS state FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) p LEFT JOIN g USING (state, cluster)
 """)
 def i12_attach_teams(t: Tables):
     places = lookup(t.nation, t.region, [("n_regionkey", "r_regionkey")])
     people = lookup(t.customer, places, [("c_nationkey", "n_nationkey")]).select(
-        "c_custkey", F.col("r_name").alias("state"), F.col("n_name").alias("cluster")
+        "c_custkey", F.col("r_name").alias("state"), small_cluster("n_name", "c_custkey", 250).alias("cluster")
     )
     return teams.attach_teams(people, formed_teams(t), ["state", "cluster"])
 
@@ -665,21 +682,21 @@ def i13_removed_with_reason(t: Tables):
     )
 
 
-@query(TEAMS.replace("c_acctbal > 9000", "c_acctbal > 9900") + """
+@query(TEAMS + """
     SELECT state, cluster, 'No arma team QX' AS forms_team, s_suppkey AS site, teams, roles_without_surplus FROM g
-    LEFT JOIN (SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) ON n_name = cluster WHERE teams < 1
+    LEFT JOIN (SELECT s_suppkey, n_name || '-' || s_suppkey // 17 AS c FROM supplier JOIN nation ON s_nationkey = n_nationkey) ON c = cluster WHERE teams < 1
 """)
 def i14_missing_teams(t: Tables):
     sites = lookup(t.supplier, t.nation, [("s_nationkey", "n_nationkey")])
-    sites = sites.select(F.col("n_name").alias("cluster"), F.col("s_suppkey").alias("site"))
-    missing = teams.missing_teams(formed_teams(t, 9900), sites, ["cluster"])
+    sites = sites.select(small_cluster("n_name", "s_suppkey", 17).alias("cluster"), F.col("s_suppkey").alias("site"))
+    missing = teams.missing_teams(formed_teams(t), sites, ["cluster"])
     return missing.select("state", "cluster", "forms_team", "site", "teams", "roles_without_surplus")
 
 
 @query("""
     WITH a AS (SELECT CASE n_name WHEN 'NATION_0' THEN 'VERACRUZ DE IGNACIO DE LA LLAVE' ELSE n_name END AS state, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey),
     b AS (SELECT CASE state WHEN 'VERACRUZ DE IGNACIO DE LA LLAVE' THEN 'Veracruz' ELSE upper(state[1]) || lower(state[2:]) END AS state, count(DISTINCT s_suppkey) AS clusters FROM a GROUP BY 1),
-    p AS (SELECT CASE n_name WHEN 'NATION_0' THEN 'Veracruz' ELSE upper(n_name[1]) || lower(n_name[2:]) END AS state, c_mktsegment AS s FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 8000),
+    p AS (SELECT CASE n_name WHEN 'NATION_0' THEN 'Veracruz' ELSE upper(n_name[1]) || lower(n_name[2:]) END AS state, c_mktsegment AS s FROM customer JOIN nation ON c_nationkey = n_nationkey),
     q AS (SELECT state, least(count(CASE WHEN s = 'AUTOMOBILE' THEN 1 END), count(CASE WHEN s = 'BUILDING' THEN 1 END), count(CASE WHEN s = 'FURNITURE' THEN 1 END),
        count(CASE WHEN s = 'HOUSEHOLD' THEN 1 END), count(CASE WHEN s = 'MACHINERY' THEN 1 END)) AS teams FROM p GROUP BY 1)
     SELECT state, teams, clusters, clusters - teams AS teams_missing FROM q JOIN b USING (state)
@@ -689,7 +706,6 @@ def i15_team_gap(t: Tables):
     nations = t.nation.select("n_nationkey", names.alias("entity"))
     anchors = lookup(t.supplier, nations, [("s_nationkey", "n_nationkey")])
     people = lookup(t.customer, nations, [("c_nationkey", "n_nationkey")])
-    people = people.filter(F.col("c_acctbal") > 8000)
     people = people.withColumn("state", teams.state_name("entity"))
     formed = teams.form_teams(people, ["state"], "c_mktsegment", "c_custkey", SEGMENTS)
     gap = teams.team_gap(formed.select("state", "teams"), anchors, "state", "entity", "s_suppkey")
@@ -725,7 +741,7 @@ def prepared(t: Tables):
     facility = F.concat(F.lit("F"), F.substring("o_orderpriority", 1, 1))
     year, month = F.year("o_orderdate"), F.month("o_orderdate")
     code = F.when(year < 1998, "OP057").when(year < 2000, None).when(year < 2001, "ME001")
-    words = F.when((year >= 1998) & (year < 2000), "CHOFER POLIVALENTE").otherwise("OTRO")
+    words = F.when((year >= 1998) & (year < 2000), " chofer Polivalente").otherwise("otro ")
     register = orders.select(
         F.lit("Estado").alias("state"),
         facility.alias("facility"),
@@ -735,7 +751,7 @@ def prepared(t: Tables):
         "key",
         code.otherwise("ZZ").alias("role_code"),
         words.alias("role_text"),
-        F.when(month < 5, None).when(month < 9, "APROBADO").otherwise("RECHAZADO").alias("status"),
+        F.when(month < 5, None).when(month < 9, "aprobado ").otherwise("RECHAZADO").alias("status"),
     )
     links = t.orders.select(
         F.concat(F.lit("L"), F.col("o_orderkey")).alias("link"),
@@ -795,37 +811,42 @@ REQUIRED = [
 SLOTS = """
     WITH need(position, required_role, title, slot, o) AS (VALUES ('BUILDING', 'B1', 'Albañil', 1, 1), ('MACHINERY', 'M1', 'Mecánico', 1, 2),
         ('MACHINERY', 'M1', 'Mecánico', 2, 3), ('FURNITURE', 'F1', 'Carpintero', 1, 4)),
-    cand AS (SELECT n_name AS cluster, c_mktsegment AS position, CASE WHEN c_acctbal > 9500 THEN 'B1' ELSE 'B2' END AS role,
-        CASE WHEN c_acctbal > 9800 THEN 'APROBADO' WHEN c_acctbal > 9200 THEN NULL ELSE 'RECHAZADO' END AS status, c_name AS name, CAST(c_custkey AS VARCHAR) AS key
-      FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000),
+    cand AS (SELECT n_name || '-' || c_custkey // 250 AS cluster, n_regionkey AS region, c_mktsegment AS position, CASE WHEN c_acctbal > 5000 THEN 'B1' ELSE 'B2' END AS role,
+        CASE WHEN c_acctbal > 6000 THEN 'APROBADO' WHEN c_acctbal > 3000 THEN NULL ELSE 'RECHAZADO' END AS status, c_name AS name, CAST(c_custkey AS VARCHAR) AS key
+      FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    clusters AS (SELECT DISTINCT cluster, region FROM cand),
     u AS (SELECT *, row_number() OVER (PARTITION BY cluster, position ORDER BY CASE WHEN status = 'APROBADO' THEN 1 ELSE 2 END, CASE role WHEN 'B2' THEN 2 ELSE 1 END, name, key) AS slot
           FROM cand WHERE status IS NULL OR status = 'APROBADO'),
-    slots AS (SELECT n_name AS cluster, n_regionkey AS region, position, slot, title, o, required_role, role, name, key, key IS NOT NULL AS filled
-      FROM nation, need LEFT JOIN u ON u.cluster = n_name AND u.position = need.position AND u.slot = need.slot),
+    slots AS (SELECT clusters.cluster AS cluster, clusters.region AS region, need.position AS position, need.slot AS slot, title, o, required_role, role, name, key, key IS NOT NULL AS filled
+      FROM clusters CROSS JOIN need LEFT JOIN u ON u.cluster = clusters.cluster AND u.position = need.position AND u.slot = need.slot),
     audit AS (SELECT u.*, CASE WHEN key IN (SELECT key FROM slots WHERE filled) THEN 'Asignado en base' ELSE 'No asignado en base' END AS result FROM u)
 """
-SLOTS = SLOTS.replace(
-    "n_name AS cluster, n_regionkey AS region, position, slot, title, o, required_role, role, name, key, key IS NOT NULL AS filled",
-    "n_name AS cluster, n_regionkey AS region, need.position AS position, need.slot AS slot, title, o, required_role, role, name, key, key IS NOT NULL AS filled",
-).replace("FROM nation, need LEFT JOIN u", "FROM nation CROSS JOIN need LEFT JOIN u")
 
 
 def slot_candidates(t: Tables):
+    """Every customer; statuses and roles as typed by hand, with blanks and small letters."""
     people = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
     balance = F.col("c_acctbal")
-    return people.filter(balance > 9000).select(
-        F.col("n_name").alias("cluster"),
+    return people.select(
+        F.concat(small_cluster("n_name", "c_custkey", 250), F.lit(" ")).alias("cluster"),
         F.col("c_mktsegment").alias("position"),
-        F.when(balance > 9500, "B1").otherwise("B2").alias("role"),
-        F.when(balance > 9800, fixed.APPROVED).when(balance <= 9200, "RECHAZADO").alias("status"),
+        F.when(balance > 5000, " b1").otherwise("B2 ").alias("role"),
+        F.when(balance > 6000, "aprobado ").when(balance <= 3000, "RECHAZADO").alias("status"),
         F.col("c_name").alias("name"),
         F.col("c_custkey").cast("string").alias("key"),
     )
 
 
+def slot_clusters(t: Tables):
+    people = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
+    cluster = small_cluster("n_name", "c_custkey", 250).alias("cluster")
+    return people.select(cluster, F.col("n_regionkey").alias("region")).distinct()
+
+
 def allocated(t: Tables):
-    clusters = t.nation.select(F.col("n_name").alias("cluster"), F.col("n_regionkey").alias("region"))
-    return candidates.allocate_slots(clusters, slot_candidates(t), REQUIRED, second_choice=["B2"])
+    return candidates.allocate_slots(
+        slot_clusters(t), slot_candidates(t), REQUIRED, second_choice=["B2"]
+    )
 
 
 @query(SLOTS + """
@@ -883,7 +904,7 @@ def i17_unassigned(t: Tables):
 
 
 @query(SLOTS + """
-    , done AS (SELECT n_name AS cluster, CAST(c_custkey AS VARCHAR) AS key, c_name AS name, 'complete' AS team
+    , done AS (SELECT n_name || '-' || c_custkey // 250 AS cluster, CAST(c_custkey AS VARCHAR) AS key, c_name AS name, 'complete' AS team
                FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9850),
     rest AS (SELECT cluster, key, name, position FROM slots s WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.cluster = s.cluster AND done.key = s.key))
     SELECT cluster, key, name, position, NULL AS team FROM rest UNION ALL SELECT cluster, key, name, NULL, team FROM done
@@ -892,12 +913,12 @@ def i17_with_complete_teams(t: Tables):
     slots = allocated(t)["slots"].select("cluster", "key", "name", "position")
     members = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
     members = members.filter(F.col("c_acctbal") > 9850).select(
-        F.col("n_name").alias("cluster"),
+        small_cluster("n_name", "c_custkey", 250).alias("cluster"),
         F.col("c_custkey").cast("string").alias("key"),
         F.col("c_name").alias("name"),
         F.lit("complete").alias("team"),
     )
-    clusters = t.nation.select(F.col("n_name").alias("cluster"))
+    clusters = slot_clusters(t).select("cluster")
     both = candidates.with_complete_teams(slots, members, clusters, ["cluster", "key", "name"])
     return both["all"]
 
@@ -909,7 +930,7 @@ def i17_with_complete_teams(t: Tables):
     FROM people p JOIN n USING (cluster) WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.c_custkey = p.c_custkey)
 """)
 def i16_candidate_teams(t: Tables):
-    people = rich_people(t).withColumnsRenamed({"c_custkey": "key", "state": "cluster_state"})
+    people = team_people(t).withColumnsRenamed({"c_custkey": "key", "state": "cluster_state"})
     complete = people.filter(F.col("c_acctbal") > 9800).select("cluster", "key")
     made = candidates.candidate_teams(
         people, complete, positions=SEGMENTS, needed=[s for s in SEGMENTS if s != "AUTOMOBILE"]
@@ -922,27 +943,23 @@ def i16_candidate_teams(t: Tables):
     SELECT cluster, position, key FROM cand WHERE key NOT IN (SELECT key FROM slots WHERE filled)
 """)
 def i17_without_placed(t: Tables):
-    people = slot_candidates(t)
+    people = slot_candidates(t).withColumn("cluster", F.trim("cluster"))
     placed = allocated(t)["slots"].filter("filled").select("cluster", "key")
     return candidates.without_placed(people, placed, placed).select("cluster", "position", "key")
 
 
 @query("""
-    WITH s AS (SELECT r_name, n_name, n_nationkey, n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9950) AS inc,
-                      n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000) AS com FROM nation JOIN region ON n_regionkey = r_regionkey)
-    SELECT r_name, count(*) AS clusters, count(CASE WHEN com THEN 1 END) AS complete, count(CASE WHEN inc THEN 1 END) AS incomplete,
+    WITH s AS (SELECT p_type, p_partkey IN (SELECT o_custkey FROM orders) AS inc, p_partkey IN (SELECT l_partkey FROM lineitem) AS com FROM part)
+    SELECT p_type, count(*) AS clusters, count(CASE WHEN com THEN 1 END) AS complete, count(CASE WHEN inc THEN 1 END) AS incomplete,
       count(CASE WHEN com THEN 1 END) / count(*) AS share_complete, count(CASE WHEN inc THEN 1 END) / count(*) AS share_incomplete FROM s GROUP BY 1
 """)
 def i18_coverage(t: Tables):
-    universe = lookup(t.nation, t.region, [("n_regionkey", "r_regionkey")])
-    incomplete = t.customer.filter(F.col("c_acctbal") > 9950)
-    complete = t.supplier.filter(F.col("s_acctbal") > 9000)
     return candidates.coverage(
-        universe,
-        complete.withColumnRenamed("s_nationkey", "n_nationkey"),
-        incomplete.withColumnRenamed("c_nationkey", "n_nationkey"),
-        "r_name",
-        "n_nationkey",
+        t.part,
+        t.lineitem.withColumnRenamed("l_partkey", "p_partkey"),
+        t.orders.withColumnRenamed("o_custkey", "p_partkey"),
+        "p_type",
+        "p_partkey",
     )
 
 

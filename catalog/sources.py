@@ -144,13 +144,13 @@ def a7_attribute_table(t: Tables):
 
 @query("""
     SELECT c_custkey AS clave_cliente, c_name AS nombre, c_nationkey AS x10_nacion,
-           round(c_acctbal, 2) AS saldo_percent, c_mktsegment AS nombre_2
+           round(c_acctbal, 2) AS saldo_percent, c_mktsegment AS nombre_3, c_custkey AS nombre_2
     FROM customer
 """)
 def a8_clean_names(t: Tables):
     messy = t.customer.select(
-        "c_custkey", "c_name", "c_nationkey", F.round("c_acctbal", 2), "c_mktsegment"
-    ).toDF("Clave  Cliente", "Nombre", "10 Nación", "Saldo %", "NOMBRE")
+        "c_custkey", "c_name", "c_nationkey", F.round("c_acctbal", 2), "c_mktsegment", "c_custkey"
+    ).toDF("Clave  Cliente", "Nombre", "10 Nación", "Saldo %", "NOMBRE", "nombre_2")
     return readers.clean_names(messy)
 
 

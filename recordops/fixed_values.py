@@ -73,6 +73,32 @@ ROLE_OF_TEXT_OTHER_EXTRACT = {
     "ME002 CIRUGIA GENERAL": "ME002",
 }
 
+# The gap report's own reading of both fields.
+GAP_POSITION_OF_CODE = {
+    "MG001": "Medicina General",
+    "ME001": "Anestesiologia",
+    "ME002": "Cirugia",
+    "EN005": "Enfermeria quirurgica",
+    "PA020": "Chofer",
+    "PA022": "Chofer",
+}
+GAP_POSITION_OF_TEXT = {
+    "OP057 CHOFER PROMOTOR POLIVALENTE": "Chofer",
+    "CHOFER PROMOTOR POLIVALENTE": "Chofer",
+    "CHOFER POLIVALENTE": "Chofer",
+    "AUXILIAR ADMINISTRATIVO (CHOFER)": "Chofer",
+    "PA022": "Chofer",
+    "ME002 CIRUGIA GENERAL": "Cirugia",
+    "CIRUGIA GENERAL": "Cirugia",
+    "ME002": "Cirugia",
+    "ANESTESIOLOGIA": "Anestesiologia",
+    "ME001": "Anestesiologia",
+    "MEDICINA GENERAL": "Medicina General",
+    "MG001": "Medicina General",
+    "ENFERMERA ESPECIALISTA CIRUGIA": "Enfermeria quirurgica",
+    "EN005": "Enfermeria quirurgica",
+}
+
 # --- fixed values: candidates and slots ---------------------------------------
 TRAVELLING_SHIFT_PATTERN = "(?i)itinerante"
 TRAVELLING_SHIFTS = ["Equipo itinerante", "EQUIPO ITINERANTE"]

@@ -45,20 +45,9 @@ def position_of_role(c: ColumnOrName) -> Column:
 
 
 def position_from_fields(code: ColumnOrName, text: ColumnOrName) -> Column:
-    """Team position from either field; the code wins.
-
-    One nursing code and three text forms are not read here, as in the gap report.
-    """
-    positions = fixed.POSITION_OF_ROLE
-    by_code = {k: v for k, v in positions.items() if k != "EN002"}
-    unread = (
-        "OP065 AUXILIAR ADMINISTRATIVO (CHOFER)",
-        "MG001 MEDICINA GENERAL",
-        "EN005 ENFERMERA ESPECIALISTA CIRUGIA",
-    )
-    by_text = {t: positions[r] for t, r in fixed.ROLE_OF_TEXT.items() if t not in unread}
-    by_text |= {r: p for r, p in by_code.items() if r != "PA020"}
-    return F.coalesce(lookup_value(code, by_code), lookup_value(text, by_text))
+    """Team position from either field, as the gap report reads them; the code wins."""
+    by_code = lookup_value(code, fixed.GAP_POSITION_OF_CODE)
+    return F.coalesce(by_code, lookup_value(text, fixed.GAP_POSITION_OF_TEXT))
 
 
 def service_kind(c: ColumnOrName, general=tuple(fixed.GENERAL_SERVICES)) -> Column:

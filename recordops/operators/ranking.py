@@ -89,7 +89,7 @@ def row_ids(df: DataFrame, order_by: list[ColumnOrName], name: str = "row_id") -
     ranged = _ranges(df, nulls_last(*order_by))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     # One row per range.
-    out = ranged.join(F.broadcast(_earlier_ranges(sizes, [])), "_range")
+    out = ranged.join(_earlier_ranges(sizes, []), "_range")
     return out.select(*df.columns, (F.col("_before") + F.col("_place") + 1).alias(name))
 
 
@@ -110,13 +110,13 @@ def rank_within(
     heads = heads.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
     # One group per range at most.
     same = same_keys(ranged, heads, list(names.items()))
-    spread = ranged.join(F.broadcast(heads), same, "left_semi")
+    spread = ranged.join(heads, same, "left_semi")
     sizes = spread.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_size"))
     before = _earlier_ranges(sizes, keys).filter(F.col("_before") > 0)
     before = before.withColumnsRenamed({**names, "_range": "_range_2"})
     same = same_keys(ranged, before, list(names.items()))
     same &= F.col("_range") == F.col("_range_2")
-    out = ranged.join(F.broadcast(before), same, "left")
+    out = ranged.join(before, same, "left")
     place = F.coalesce("_before", F.lit(0)) + F.col("_place") - F.col("_first") + 1
     return out.select(*df.columns, place.alias(rank))
 

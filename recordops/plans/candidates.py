@@ -10,6 +10,7 @@ from recordops.functions.codes import clean_key, position_of_role, role_code, st
 from recordops.functions.nulls import distinct_with_null, member, nulls_last, strict_if
 from recordops.functions.text import recode
 from recordops.operators.aggregates import count_of_counts, frequency, ordered_text
+from recordops.operators.columns import apply_each
 from recordops.operators.combine import stack
 from recordops.operators.joins import (
     cross_with,
@@ -86,7 +87,9 @@ def prepare_candidates(
     link_status: `link, works`; clusters: `facility, cluster, cluster_state,
     site_name`; previous_names: `key, name`; looked_up: see `recover_names`.
     """
-    df = register.withColumns(
+    texts = [c for c, kind in register.dtypes if kind == "string" and c != "link"]
+    df = apply_each(register, texts, lambda c: F.upper(F.trim(c)))
+    df = df.withColumns(
         {"key_clean": clean_key("key"), "role": role_code("role_code", "role_text")}
     )
     placed = placed.select(clean_key("key").alias("key_clean"))
@@ -183,9 +186,12 @@ def allocate_slots(
     """Required positions filled with ranked candidates.
 
     clusters: `cluster` and its descriptions, one row each. candidates:
-    `cluster, position, role, status, name, key`. One person may fill slots in
+    `cluster, position, role, status, name, key`, typed in any case and with
+    blanks around. One person may fill slots in
     several clusters; only the audit is per person.
     """
+    texts = {"cluster": F.trim("cluster")} | {c: F.upper(F.trim(c)) for c in ("role", "status")}
+    candidates = candidates.withColumns(texts)
     positions = [r[0] for r in required]
     per_position = max(positions.count(p) for p in positions)
     needs = required_slots(clusters, required)

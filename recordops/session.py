@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,15 +24,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a new local one only where none is set."""
+    """The folder that the session's executors share; there is no default, since a local one would lose files."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or tempfile.mkdtemp(prefix="recordops-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir() or folder
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(configured)
+    return context.getCheckpointDir() or configured
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -118,12 +118,18 @@ def clean_name(name: str) -> str:
 
 
 def clean_names(df: DataFrame) -> DataFrame:
-    """ASCII snake case column names, repeated ones numbered."""
-    seen: dict[str, int] = {}
+    """ASCII snake case column names, repeated ones numbered on to a free name."""
+    given = [clean_name(name) for name in df.columns]
+    taken = set(given)
+    used: set[str] = set()
     names = []
-    for name in map(clean_name, df.columns):
-        seen[name] = seen.get(name, 0) + 1
-        names.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    for name in given:
+        free, n = name, 1
+        while free in used or (n > 1 and free in taken):
+            n += 1
+            free = f"{name}_{n}"
+        used.add(free)
+        names.append(free)
     return df.toDF(*names)
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -21,6 +22,8 @@ def make_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
+    if not spark.conf.get("spark.checkpoint.dir", None):  # one machine, so a local folder is shared
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

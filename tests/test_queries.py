@@ -7,6 +7,8 @@ from compare import compare, database
 
 import __spark_entry__ as entry
 
+#: Queries whose condition nothing fulfils in the smallest tables.
+MAY_BE_EMPTY: set[str] = set()
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -18,12 +20,13 @@ def con():
 @pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_agrees_with_sql(spark, con, name):
     result = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], FOLDER)
-    assert result in (None, "no rows")
+    assert result is None or (result == "no rows" and name in MAY_BE_EMPTY)
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_query_without_sql_runs(spark, name):
-    assert entry.queries()[name](spark, FOLDER).count() > 0
+    rows = entry.queries()[name](spark, FOLDER).count()
+    assert rows > 0
 
 
 def test_entry(spark):
