@@ -27,7 +27,7 @@ from recordops.llm.base import LOWER, NOT_BLANK, bounded, flat_bytes, slices, wo
 
 PATH, LAST, WORD, PLAIN = 48, 24, 16, 8
 INPUT, HIDDEN = PATH + LAST + WORD + PLAIN, 16
-MAIN = ""  # begins the blocks of made-up pages that are main text
+MAIN = "\ue000"  # begins the blocks of made-up pages that are main text
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 TOKEN = re.compile(r"[a-z]+")
