@@ -27,7 +27,7 @@ from recordops.llm.base import bounded, slices
 from recordops.session import scratch_dir
 
 BLOCK_IDS = 1 << 20  # a block is closed once it holds so many; a document is never cut
-CACHED = 400_000  # words in each of two generations of the cache
+CACHED = 700_000  # words in each of two generations of the cache
 MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
@@ -53,8 +53,9 @@ class Words:
         """Takes in words that are not cached: those of the generation before, then new ones."""
         if len(self.ids) + len(words) > CACHED:
             self.old, self.ids = self.ids, {}
-        for w in words.intersection(self.old):
-            self.ids[w] = self.old[w]
+        for w in words:
+            if w in self.old:
+                self.ids[w] = self.old[w]
         new = words.difference(self.ids)
         # marks after a letter are tokens of their own, so the word without them is looked up
         parts = {}
@@ -92,12 +93,12 @@ def encode_words(texts: list[bytes], path: str) -> list[bytes]:
     """
     _, cache = tokenizer(path)
     rows = [x.lower().split() for x in texts]
-    new = set().union(*rows).difference(cache.ids)
-    if new:
-        cache.learn(new)
-        if missing := set().union(*rows).difference(cache.ids):  # gone with the older generation
-            cache.learn(missing)
-    return [b"".join(map(cache.ids.__getitem__, r)) for r in rows]
+    found = [list(map(cache.ids.get, r)) for r in rows]
+    missing = {w for r, f in zip(rows, found) if None in f for w, v in zip(r, f) if v is None}
+    if missing:
+        cache.learn(missing)
+        found = [[cache.ids[w] if v is None else v for w, v in zip(r, f)] if None in f else f for r, f in zip(rows, found)]
+    return [b"".join(f) for f in found]
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text", shards: int | None = None) -> None:
