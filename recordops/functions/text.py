@@ -27,10 +27,6 @@ def is_number(c: ColumnOrName) -> Column:
     return F.coalesce(text.rlike(NUMBER), F.lit(False))
 
 
-def number_or_null(c: ColumnOrName) -> Column:
-    return F.when(is_number(c), F.trim(col(c).cast("string")).try_cast("double"))
-
-
 def first_number(c: ColumnOrName) -> Column:
     """First number in a text, thousands separators ignored (H2)."""
     found = F.regexp_substr(F.replace(col(c), F.lit(","), F.lit("")), F.lit(FIRST_NUMBER))

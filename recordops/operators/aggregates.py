@@ -62,11 +62,6 @@ def repeated_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return keep_groups(df, keys, F.count(F.lit(1)) > 1)
 
 
-def repeated_keys(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
-    """Keys that occur more than once, with their count."""
-    return frequency(df, keys, name).filter(F.col(name) > 1)
-
-
 def surplus(c: ColumnOrName) -> Column:
     """Rows beyond the first of each value."""
     return F.count(F.lit(1)) - distinct_with_null(c)
