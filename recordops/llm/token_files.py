@@ -14,6 +14,8 @@ take the strings of special tokens as ordinary text.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -28,7 +30,8 @@ from recordops.session import scratch_dir
 
 BLOCK_IDS = 1 << 20  # a block is closed once it holds so many; a document is never cut
 CACHED = 700_000  # words in each of two generations of the cache
-MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+#: Small letters of ASCII and all letters of Latin-1 beyond it, in UTF-8, then marks.
+LETTERS_MARKS = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
 
 @lru_cache(2)
@@ -41,47 +44,46 @@ def tokenizer(path: str):
     return t, Words(t)
 
 
-class Words:
-    """Ids of words as little-endian 16-bit integers, in two generations, so that memory stays bounded."""
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, then from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Words(dict):
+    """Ids of words as little-endian 16-bit integers, in two generations, so that memory stays bounded.
+
+    A word of plain letters goes straight to the tokenizer's model, as normalising
+    only makes it small and splitting leaves it whole; marks after it are a piece of
+    their own. All other words take the tokenizer's whole way.
+    """
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.ids, self.old = tokenizer, {}, {}
-        self.ends = np.zeros(1 << 16, bool)
-        self.ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-
-    def learn(self, words: set[bytes]) -> None:
-        """Takes in words that are not cached: those of the generation before, then new ones."""
-        if len(self.ids) + len(words) > CACHED:
-            self.old, self.ids = self.ids, {}
-        for w in words:
-            if w in self.old:
-                self.ids[w] = self.old[w]
-        new = words.difference(self.ids)
-        # marks after a letter are tokens of their own, so the word without them is looked up
-        parts = {}
-        for w in new:
-            core = w.rstrip(MARKS)
-            if core and len(core) < len(w) and core[-1:].isalpha():
-                parts[w] = (core, w[len(core) :])
-        ask = list((new - parts.keys()).union(*parts.values()).difference(self.ids))
-        letters = [w for w in ask if w.decode("utf-8", "replace").isalpha()]
-        for lo in range(0, len(letters), 500):
-            self.learn_letters(letters[lo : lo + 500])
-        ask = [w for w in ask if w not in self.ids]
-        for w, e in zip(ask, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in ask], add_special_tokens=False)):
-            self.ids[w] = np.array(e.ids, "<u2").tobytes()
-        for w, (core, marks) in parts.items():
-            self.ids[w] = self.ids[core] + self.ids[marks]
-
-
-    def learn_letters(self, words: list[bytes]) -> None:
-        """Words of letters only, in one call: each gives ids of which the last one alone ends a word."""
-        ids = np.array(self.tokenizer.encode(b" ".join(words).decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2")
-        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(ends) == len(words):
-            whole = ids.tobytes()
-            for w, a, b in zip(words, [0, *ends], ends):
-                self.ids[w] = whole[2 * a : 2 * b]
+        super().__init__()
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.letters = byte_letters()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            found = LETTERS_MARKS.fullmatch(word)
+            if found is None:
+                ids = self.whole(word)
+            elif found[2]:
+                ids = self[found[1]] + self[found[2]]
+            else:
+                small = word if word.isascii() else word.decode().lower().encode()
+                pieces = self.model.tokenize(small.decode("latin-1").translate(self.letters))
+                ids = struct.pack(f"<{len(pieces)}H", *[p.id for p in pieces])
+        if len(self) >= CACHED:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def whole(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
 
 
 def encode_words(texts: list[bytes], path: str) -> list[bytes]:
@@ -91,14 +93,8 @@ def encode_words(texts: list[bytes], path: str) -> list[bytes]:
     a text's ids are those of its words one after the other; capitals are made small by
     the tokenizer itself. Each distinct word is given to it once while the cache holds it.
     """
-    _, cache = tokenizer(path)
-    rows = [x.lower().split() for x in texts]
-    found = [list(map(cache.ids.get, r)) for r in rows]
-    missing = {w for r, f in zip(rows, found) if None in f for w, v in zip(r, f) if v is None}
-    if missing:
-        cache.learn(missing)
-        found = [[cache.ids[w] if v is None else v for w, v in zip(r, f)] if None in f else f for r, f in zip(rows, found)]
-    return [b"".join(f) for f in found]
+    ids_of = tokenizer(path)[1].__getitem__
+    return [b"".join(map(ids_of, x.lower().split())) for x in texts]
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text", shards: int | None = None) -> None:

@@ -202,6 +202,14 @@ def test_coder_round_trip(kinds):
                 mixing_coder.unpack(bytes(broken))
 
 
+def test_words_of_any_letters_give_the_ids_of_the_text():
+    odd = ["Σας ΣΑΣ İstanbul ﬁ ſt éa Straßë ẞ?", "it's don't 'tis ab'' x...y", "×÷ æ×æ Œuvre naïve,— a b c\x85d \x1c e\x0bf"]
+    odd += ["12ab ab12 <|endoftext|> </w> a</w> #@! Ĳ Ñandú. «Éa» µm ªº", "Å", "ÅNGSTRÖM, ÅÅ!! A\u030a e\u0301a \u0301x", "", " \t\n"]
+    whole = token_files.tokenizer(WORDS)[0]
+    for text, ids in zip(odd, token_files.encode_words([x.encode() for x in odd], WORDS)):
+        assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_token_files(docs, texts, no_docs):
     from tokenizers import Tokenizer
 
