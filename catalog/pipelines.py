@@ -256,9 +256,11 @@ def i5_supplement_by_interval(t: Tables):
 
 
 KEY_SUPPLEMENT = """
-    WITH late AS (SELECT o_orderkey AS folio, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS person, o_orderstatus AS status FROM orders),
+    WITH late AS (SELECT o_orderkey AS folio, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS person, o_orderstatus AS status,
+        CAST(o_orderdate AS DATE) AS day, CASE WHEN o_custkey % 5 > 0 THEN 'X' || o_custkey END AS extract FROM orders),
     base AS (SELECT * FROM late WHERE status = 'F'),
-    missing AS (SELECT l.* FROM late l LEFT JOIN base b ON l.folio = b.folio AND l.person = b.person WHERE b.folio IS NULL)
+    there AS (SELECT * FROM base WHERE extract IS NOT NULL),
+    missing AS (SELECT l.* FROM late l LEFT JOIN there b ON l.folio = b.folio AND l.person = b.person AND l.day = b.day WHERE b.folio IS NULL)
 """
 
 
@@ -268,25 +270,36 @@ def base_and_late(t: Tables):
         F.col("o_orderkey").alias("folio"),
         person.alias("person"),
         F.col("o_orderstatus").alias("status"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.when(F.col("o_custkey") % 5 > 0, F.concat(F.lit("X"), "o_custkey")).alias("extract"),
     )
     return late.filter(F.col("status") == "F"), late
 
 
+def base_with_late(t: Tables):
+    """Base rows without an extract stay, but do not count as present."""
+    base, late = base_and_late(t)
+    keys = ["folio", "person", "day"]
+    there = F.col("extract").isNotNull()
+    return supplements.supplement_by_keys(base, late, keys, ("base", "late"), present=there)
+
+
 @query(KEY_SUPPLEMENT + """
-    SELECT folio, person, status, 'base' AS source FROM base UNION ALL SELECT folio, person, status, 'late' FROM missing
+    , both_ AS (SELECT *, 'base' AS source FROM base UNION ALL SELECT *, 'late' FROM missing)
+    SELECT folio, person, status, strftime(day, '%Y-%m-%d') AS day, extract, source FROM both_
 """)
 def i6_supplement_by_keys(t: Tables):
-    base, late = base_and_late(t)
-    return supplements.supplement_by_keys(base, late, ["folio", "person"], ("base", "late"))
+    return base_with_late(t).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @query(KEY_SUPPLEMENT + """
     SELECT count(*) AS total, count(b.folio) AS matched, count(*) - count(b.folio) AS missing
-    FROM late l LEFT JOIN base b ON l.folio = b.folio AND l.person = b.person
+    FROM late l LEFT JOIN there b ON l.folio = b.folio AND l.person = b.person AND l.day = b.day
 """)
 def i6_match_audit(t: Tables):
     base, late = base_and_late(t)
-    return match_audit(late, base, ["folio", "person"])
+    there = base.filter(F.col("extract").isNotNull())
+    return match_audit(late, there, ["folio", "person", "day"])
 
 
 @query(KEY_SUPPLEMENT + """
@@ -294,9 +307,7 @@ def i6_match_audit(t: Tables):
     SELECT source, count(*) AS n, count(*) - count(person) AS missing_person FROM both_ GROUP BY 1
 """)
 def i6_source_audit(t: Tables):
-    base, late = base_and_late(t)
-    both = supplements.supplement_by_keys(base, late, ["folio", "person"], ("base", "late"))
-    return supplements.source_audit(both, ["person"])
+    return supplements.source_audit(base_with_late(t), ["person"])
 
 
 @query(KEY_SUPPLEMENT + """
@@ -304,9 +315,7 @@ def i6_source_audit(t: Tables):
     SELECT source, count(*) AS n FROM both_ GROUP BY 1 UNION ALL SELECT 'TOTAL', count(*) FROM both_
 """)
 def i6_totals_by_source(t: Tables):
-    base, late = base_and_late(t)
-    both = supplements.supplement_by_keys(base, late, ["folio", "person"], ("base", "late"))
-    return with_group_total(frequency(both, ["source"]), "source", "n")
+    return with_group_total(frequency(base_with_late(t), ["source"]), "source", "n")
 
 
 @query("""
@@ -812,12 +821,13 @@ SLOTS = """
     WITH need(position, required_role, title, slot, o) AS (VALUES ('BUILDING', 'B1', 'Albañil', 1, 1), ('MACHINERY', 'M1', 'Mecánico', 1, 2),
         ('MACHINERY', 'M1', 'Mecánico', 2, 3), ('FURNITURE', 'F1', 'Carpintero', 1, 4)),
     cand AS (SELECT n_name || '-' || c_custkey // 250 AS cluster, n_regionkey AS region, c_mktsegment AS position, CASE WHEN c_acctbal > 5000 THEN 'B1' ELSE 'B2' END AS role,
-        CASE WHEN c_acctbal > 6000 THEN 'APROBADO' WHEN c_acctbal > 3000 THEN NULL ELSE 'RECHAZADO' END AS status, c_name AS name, CAST(c_custkey AS VARCHAR) AS key
+        CASE WHEN c_acctbal > 6000 THEN 'APROBADO' WHEN c_acctbal > 3000 THEN NULL ELSE 'RECHAZADO' END AS status, c_name AS name, CAST(c_custkey AS VARCHAR) AS key,
+        'Carpeta/' || c_custkey AS link, CASE WHEN c_custkey % 4 > 0 THEN c_mktsegment || ' ' || c_custkey % 3 END AS job
       FROM customer JOIN nation ON c_nationkey = n_nationkey),
     clusters AS (SELECT DISTINCT cluster, region FROM cand),
     u AS (SELECT *, row_number() OVER (PARTITION BY cluster, position ORDER BY CASE WHEN status = 'APROBADO' THEN 1 ELSE 2 END, CASE role WHEN 'B2' THEN 2 ELSE 1 END, name, key) AS slot
           FROM cand WHERE status IS NULL OR status = 'APROBADO'),
-    slots AS (SELECT clusters.cluster AS cluster, clusters.region AS region, need.position AS position, need.slot AS slot, title, o, required_role, role, name, key, key IS NOT NULL AS filled
+    slots AS (SELECT clusters.cluster AS cluster, clusters.region AS region, need.position AS position, need.slot AS slot, title, o, required_role, role, name, key, link, job, key IS NOT NULL AS filled
       FROM clusters CROSS JOIN need LEFT JOIN u ON u.cluster = clusters.cluster AND u.position = need.position AND u.slot = need.slot),
     audit AS (SELECT u.*, CASE WHEN key IN (SELECT key FROM slots WHERE filled) THEN 'Asignado en base' ELSE 'No asignado en base' END AS result FROM u)
 """
@@ -834,6 +844,11 @@ def slot_candidates(t: Tables):
         F.when(balance > 6000, "aprobado ").when(balance <= 3000, "RECHAZADO").alias("status"),
         F.col("c_name").alias("name"),
         F.col("c_custkey").cast("string").alias("key"),
+        F.concat(F.lit("Carpeta/"), "c_custkey").alias("link"),
+        F.when(
+            F.col("c_custkey") % 4 > 0,
+            F.concat_ws(" ", "c_mktsegment", F.col("c_custkey") % 3),
+        ).alias("title"),
     )
 
 
@@ -850,15 +865,58 @@ def allocated(t: Tables):
 
 
 @query(SLOTS + """
-    SELECT cluster, position, slot, coalesce(role, required_role) AS final_role, name, key, filled,
+    SELECT cluster, position, slot, coalesce(role, required_role) AS final_role, coalesce(job, title) AS final_title, name, key, link, filled,
       CASE WHEN filled THEN 'Cubierto con candidato UAS' ELSE 'Vacante / sin candidato UAS' END AS occupation FROM slots
 """)
 def i17_slots(t: Tables):
     return allocated(t)["slots"].select(
-        "cluster", "position", "slot", "final_role", "name", "key", "filled", "occupation"
+        "cluster",
+        "position",
+        "slot",
+        "final_role",
+        "final_title",
+        "name",
+        "key",
+        "link",
+        "filled",
+        "occupation",
     )
 
 
+@query(r"""
+    WITH layer AS (SELECT CASE WHEN c_custkey % 11 > 0 THEN n_name || '_' || c_custkey // 250 || CASE WHEN c_custkey % 7 = 0 THEN ' ' ELSE '' END END AS name, c_mktsegment AS site
+        FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    done AS (SELECT n_name || '_' || s_suppkey % 3 AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+    waiting AS (SELECT trim(name) AS cluster, regexp_replace(name, '_\d+$', '') AS anchor, site FROM layer WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM done))
+    SELECT cluster, anchor, CAST(nullif(regexp_extract(cluster, '\d+$'), '') AS INTEGER) AS cluster_order, site FROM waiting WHERE cluster <> ''
+    QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY anchor, site) = 1
+""")
+def i17_prepared_clusters(t: Tables):
+    people = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
+    number = F.floor(F.col("c_custkey") / 250)
+    blank = F.when(F.col("c_custkey") % 7 == 0, " ").otherwise("")
+    typed = F.concat("n_name", F.lit("_"), number, blank)
+    layer = people.select(
+        F.when(F.col("c_custkey") % 11 > 0, typed).alias("cluster_name"),
+        F.col("c_mktsegment").alias("site"),
+    )
+    done = lookup(t.supplier, t.nation, [("s_nationkey", "n_nationkey")])
+    done = done.select(F.concat("n_name", F.lit("_"), F.col("s_suppkey") % 3).alias("cluster"))
+    return candidates.prepare_clusters(layer, done)
+
+
+@query("""
+    WITH roles(segment, role, position) AS (VALUES ('AUTOMOBILE', 'MG001', 'Medicina General'), ('BUILDING', 'ME001', 'Anestesiologia'),
+        ('FURNITURE', 'EN002', 'Enfermeria quirurgica'), ('HOUSEHOLD', 'PA020', 'Chofer'))
+    SELECT c_custkey, role, position FROM customer JOIN roles ON c_mktsegment = segment
+""")
+def i17_candidates_by_position(t: Tables):
+    codes = {"AUTOMOBILE": "MG001", "BUILDING": "ME001", "FURNITURE": "EN002", "HOUSEHOLD": "PA020"}
+    role = lookup_value("c_mktsegment", codes)
+    people = t.customer.select("c_custkey", F.coalesce(role, "c_mktsegment").alias("role"))
+    return candidates.candidates_by_position(people)
+
+
 @query(SLOTS + """
     SELECT count(*) AS total, count(DISTINCT cluster) AS clusters, count(CASE WHEN filled THEN 1 END) AS filled,
            count(CASE WHEN NOT filled THEN 1 END) AS vacant FROM slots

@@ -100,6 +100,8 @@ GAP_POSITION_OF_TEXT = {
 }
 
 # --- fixed values: candidates and slots ---------------------------------------
+CLUSTER_SUFFIX = r"_\d+$"
+CLUSTER_NUMBER = r"\d+$"
 TRAVELLING_SHIFT_PATTERN = "(?i)itinerante"
 TRAVELLING_SHIFTS = ["Equipo itinerante", "EQUIPO ITINERANTE"]
 APPROVED = "APROBADO"

@@ -158,6 +158,32 @@ def required_slots(
     return cross_with(clusters, rows)
 
 
+def prepare_clusters(
+    layer: DataFrame, complete_teams: DataFrame, name: str = "cluster_name"
+) -> DataFrame:
+    """Clusters that still need people, one row each.
+
+    layer: the names of clusters, such as `SITE_3`, and their descriptions;
+    complete_teams: `cluster`. Names found among the complete teams, as they are
+    written, go out, and so do missing and blank names. `anchor` is the name
+    without its number, `cluster` the trimmed name, `cluster_order` its number
+    (missing where it has none). Of several rows the first by anchor and
+    descriptions stays.
+    """
+    descriptions = [c for c in layer.columns if c != name]
+    waiting = layer.filter(F.col(name).isNotNull())
+    waiting = unmatched(waiting, complete_teams.select("cluster"), [(name, "cluster")])
+    cluster = F.trim(name)
+    number = F.nullif(F.regexp_extract(cluster, fixed.CLUSTER_NUMBER, 0), F.lit(""))
+    out = waiting.select(
+        cluster.alias("cluster"),
+        F.regexp_replace(name, fixed.CLUSTER_SUFFIX, "").alias("anchor"),
+        number.try_cast("int").alias("cluster_order"),
+        *descriptions,
+    )
+    return first_per_key(out.filter(F.col("cluster") != ""), ["cluster"], ["anchor", *descriptions])
+
+
 def rank_candidates(
     candidates: DataFrame, slots: int, second_choice: list[str] = fixed.SECOND_CHOICE_ROLES
 ) -> DataFrame:
@@ -187,8 +213,9 @@ def allocate_slots(
 
     clusters: `cluster` and its descriptions, one row each. candidates:
     `cluster, position, role, status, name, key`, typed in any case and with
-    blanks around. One person may fill slots in
-    several clusters; only the audit is per person.
+    blanks around; their `link` and `title` are kept where they have them, and
+    the title of a slot is that of its person, the required one by default. One
+    person may fill slots in several clusters; only the audit is per person.
     """
     texts = {"cluster": F.trim("cluster")} | {c: F.upper(F.trim(c)) for c in ("role", "status")}
     candidates = candidates.withColumns(texts)
@@ -199,7 +226,8 @@ def allocate_slots(
     usable = candidates.filter(allowed & F.col("position").isNotNull())
     usable = usable.filter(~F.col("cluster").isin("", fixed.NO_CLUSTER))
     best = rank_candidates(usable, per_position, second_choice)
-    best = best.select("cluster", "position", "slot", "role", "status", "name", "key")
+    kept = [c for c in ("link", "title") if c in candidates.columns]
+    best = best.select("cluster", "position", "slot", "role", "status", "name", "key", *kept)
     filled = lookup(needs, best, ["cluster", "position", "slot"])
     taken = F.col("key").isNotNull()
     filled = filled.withColumns(
@@ -208,6 +236,7 @@ def allocate_slots(
             "candidate_source": F.when(taken, fixed.CANDIDATE_SOURCE),
             "occupation": F.when(taken, fixed.SLOT_FILLED).otherwise(fixed.SLOT_VACANT),
             "final_role": F.coalesce("role", "required_role"),
+            "final_title": F.coalesce(*[c for c in kept if c == "title"], "required_title"),
         }
     )
     assigned = filled.filter("filled").select("key", "cluster", "position")

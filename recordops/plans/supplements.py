@@ -118,13 +118,16 @@ def supplement_by_keys(
     labels: tuple[str | None, str],
     source: str = "source",
     null_safe: bool = False,
+    present: Column | None = None,
 ) -> DataFrame:
     """Late rows whose keys the base does not have, added to it.
 
     Both sides have the same columns; the base keeps its own `source` when the
-    first label is None. A missing key counts as not present.
+    first label is None. A missing key counts as not present. With `present`,
+    only base rows that meet it count as present; the others stay in the result.
     """
-    missing = unmatched(late, base, keys, null_safe).withColumn(source, F.lit(labels[1]))
+    counted = base if present is None else base.filter(present)
+    missing = unmatched(late, counted, keys, null_safe).withColumn(source, F.lit(labels[1]))
     if labels[0] is not None:
         base = base.withColumn(source, F.lit(labels[0]))
     return stack_by_position(base, missing.select(*base.columns))

@@ -141,6 +141,14 @@ def test_key_supplement_adds_up(spark):
     assert tuple(supplements.before_and_added(shared, ("base", "late")).first()) == (2, 1, 3)
 
 
+def test_base_rows_that_do_not_count_as_present(spark):
+    base = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    late = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, v string")
+    present = F.col("v").isNotNull()
+    both = supplements.supplement_by_keys(base, late, ["k"], ("base", "late"), present=present)
+    assert {tuple(r) for r in both.collect()} == {(1, "a", "base"), (2, None, "base"), (2, "y", "late"), (None, "z", "late")}
+
+
 def people(spark, rows):
     return spark.createDataFrame(rows, "g string, position string, person string")
 
@@ -211,6 +219,25 @@ def test_slots(spark):
     assert out["audit"].count() == 6
 
 
+def test_slots_keep_link_and_title(spark):
+    clusters = spark.createDataFrame([("c1",)], "cluster string")
+    rows = [("c1", "ME002", "Ana", "a", "l1", "Cirujana"), ("c1", "ME001", "Eva", "e", None, None)]
+    people = spark.createDataFrame(rows, "cluster string, role string, name string, key string, link string, title string")
+    people = candidates.candidates_by_position(people.withColumn("status", F.lit(None).cast("string")))
+    slots = candidates.allocate_slots(clusters, people)["slots"].collect()
+    found = {r["position"]: (r["link"], r["final_title"]) for r in slots}
+    assert found["Cirugia"] == ("l1", "Cirujana")
+    assert found["Anestesiologia"] == (None, "Anestesiólogo") and found["Chofer"][1] == "Chofer"
+
+
+def test_prepared_clusters(spark):
+    rows = [("S_2", "b"), (" S_2", "a"), ("S_10 ", "a"), ("T", "a"), ("U_1", "a"), ("  ", "a"), (None, "a")]
+    layer = spark.createDataFrame(rows, "cluster_name string, site string")
+    done = spark.createDataFrame([("U_1",), (None,)], "cluster string")
+    out = {tuple(r) for r in candidates.prepare_clusters(layer, done).collect()}
+    assert out == {("S_2", " S", 2, "a"), ("S_10", "S_10 ", 10, "a"), ("T", "T", None, "a")}
+
+
 def test_coverage(spark):
     universe = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "3"), ("y", "3")], "e string, c string")
     done = spark.createDataFrame([("1",)], "c string")
