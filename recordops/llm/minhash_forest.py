@@ -3,11 +3,15 @@
 A set of word shingles has a signature of 64 minima. The forest is 16 sorted orders of
 the signatures, each starting at another place of them. In an order the neighbours of a
 signature are those with the longest common prefix; where a region is crowded they share
-more than the least depth of four values, so the depth adapts to the region and the number
-of candidates stays in proportion to the number of sets. An order is one range-sorted
+more than the least depth of four values. An order is one range-sorted
 shuffle: a crowded prefix spreads over many tasks, and the rows at the edges of the ranges
 are compared in a second, small pass.
 
+A prefix that more rows share than an order compares is completed afterwards: all its rows
+of different components meet in salted blocks, pair of blocks by pair of blocks, and are
+compared on their full sets. The work there grows with the square of the rows that no link
+has joined; the rows of the largest component meet only the others.
+
 Rows with equal sets are one node beforehand, so copies are never compared. Candidates
 whose signatures agree in too few values to reach the similarity are left out; of the
 others the closest two of each node are confirmed on the full sets first, then those that
@@ -34,6 +38,7 @@ from recordops.llm.base import LOWER, NOT_BLANK, RunHash, bounded, flat_bytes, r
 from recordops.llm.components import components
 
 VALUES, ORDERS, DEPTH, NEAR = 64, 16, 4, 4
+ROWS, SHINGLES = 512, 250_000  # of a block, about
 _draw = np.random.default_rng(20240607)
 TURN = _draw.integers(0, 1 << 32, VALUES, dtype=np.uint32)
 FACTOR = _draw.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -189,13 +194,105 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, word: np.ndarray, per
     return both.select("a", "b", "a_key", "a_text", "b_text").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def crowds(nodes: DataFrame, parts: DataFrame, texts: DataFrame, least: int, size: int, word: np.ndarray, percent: int) -> DataFrame:
+    """Links between components of rows that share the least prefix with more rows than an order compares.
+
+    `parts` has the components so far (node, component), `texts` the text of every _key.
+    """
+    kind = nodes.schema["id"].dataType.simpleString()
+    rows = nodes.join(parts, nodes["id"] == parts["node"], "left").select("id", "_key", "signature", "n_shingles", F.coalesce("component", "id").alias("part"))
+    rows = settle(rows, "parts")
+    step = 2 * VALUES // ORDERS
+    trees = rows.select("id", "_key", "n_shingles", "part", "signature", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
+    trees = trees.withColumn("prefix", F.expr(f"substring(signature, tree * {step} + 1, {2 * DEPTH})")).drop("signature")
+    full = trees.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
+    full = settle(full.filter((F.col("n") > NEAR + 1) & (F.col("low") < F.col("high"))).select("tree", "prefix"), "prefixes")
+    trees = settle(trees.drop("id").join(full, ["tree", "prefix"]), "crowded")
+    groups = trees.groupBy("tree", "prefix", "part").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    groups = groups.groupBy("tree", "prefix").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max(F.struct("n", "total", "part")).alias("most"))
+    blocks = lambda n, total: F.greatest(F.ceil(n / ROWS), F.ceil(total / SHINGLES)).cast("int")
+    others = blocks(F.col("n") - F.col("most.n"), F.col("total") - F.col("most.total"))
+    groups = settle(groups.select("tree", "prefix", F.col("most.part").alias("main"), others.alias("others"), blocks(F.col("most.n"), F.col("most.total")).alias("mains")), "crowds")
+    # rows of the largest component have blocks of their own, which do not meet one another
+    place = F.xxhash64("_key")
+    met = trees.drop("n_shingles").join(groups, ["tree", "prefix"])
+    met = met.withColumn("block", F.when(F.col("part") == F.col("main"), F.col("others") + F.pmod(place, "mains")).otherwise(F.pmod(place, "others")).cast("int"))
+    met = met.withColumn("last", F.when(F.col("part") == F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)
+    met = settle(met.select("_key", "tree", "prefix", "block", "last"), "met")
+    some = met.select("_key").distinct()
+    full = texts.join(some, "_key", "left_semi").dropDuplicates(["_key"])
+    full = settle(rows.join(full.mapInArrow(set_bytes(size, word), "_key binary, shingles binary"), "_key"), "sets")
+    pairs = met.join(full, "_key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    pairs = pairs.select("id", "part", "signature", "shingles", "tree", "prefix", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    return pairs.groupBy("tree", "prefix", "lo", "hi").applyInArrow(block_links(least, percent), f"a {kind}, b {kind}")
+
+
+def set_bytes(size: int, word: np.ndarray):
+    """The sets of texts (_key, text) as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch.column(1)):
+                data, offsets = flat_bytes(batch.column(1)[a:b])
+                sets = shingle_sets(LOWER[data], offsets, size, word)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array([s.tobytes() for s in sets], pa.binary())], names=["_key", "shingles"])
+
+    return run
+
+
+def block_links(least: int, percent: int):
+    """Links that join the components of two blocks of rows, or of one block, as far as full sets reach `percent`."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = table["id"].combine_chunks()
+        tree, lo, hi = (table[c][0].as_py() for c in ("tree", "lo", "hi"))
+        grid = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(-1, VALUES)
+        root = np.array(table["part"].combine_chunks().dictionary_encode().indices)
+        block = np.asarray(table["block"])
+        sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        agree = np.zeros((len(ids), len(ids)), np.uint8)
+        for values in grid.T:
+            agree += values[:, None] == values
+        # each pair in the first order in which it shares the prefix
+        todo = (agree >= least) & (root[:, None] != root) & (100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes))
+        if lo != hi:
+            todo &= block[:, None] != block
+        for t in range(tree):
+            at = t * VALUES // ORDERS
+            lead = np.ascontiguousarray(grid[:, at : at + DEPTH]).view(np.uint64)[:, 0]
+            todo &= lead[:, None] != lead
+        found = []
+        if todo.any():
+            names, codes = np.unique(np.concatenate(sets), return_inverse=True)
+            codes = np.split(codes, np.cumsum(sizes)[:-1])
+            inside = np.zeros(len(names), bool)
+            # rows close to many others first: they may join all of them
+            for i in np.argsort(-agree.sum(1, dtype=np.int64), kind="stable"):
+                near = np.flatnonzero(todo[i] & (root != root[i]))
+                todo[:, i] = False
+                if len(near):
+                    inside[codes[i]] = True
+                    begins = np.cumsum(sizes[near]) - sizes[near]
+                    common = np.add.reduceat(inside[np.concatenate([codes[j] for j in near])], begins, dtype=np.int64)
+                    inside[codes[i]] = False
+                    for j in near[100 * common >= percent * (sizes[i] + sizes[near] - common)]:
+                        if root[j] != root[i]:
+                            root[root == root[j]] = root[i]
+                            found.append((i, j))
+        first, second = (pa.array([f[k] for f in found], pa.int64()) for k in (0, 1))
+        return pa.table({"a": ids.take(first), "b": ids.take(second)})
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, word: np.ndarray = NOT_BLANK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row for each row of `docs`: id, size of the set, smallest id of the component, whether the row's id is that one."""
     keyed = bounded(docs).select(F.col(id_column).alias("id"), row_key(id_column, text_column).alias("_key"), F.col(text_column).alias("text"))
     rows = settle(sketches(keyed, "text", size, word), "sketches")
     sets = rows.filter("n_shingles > 0 and id is not null")
-    nodes = sets.groupBy("set1", "set2").agg(F.min(F.struct("id", "_key")).alias("r"), F.first("signature").alias("signature"))
-    nodes = settle(nodes.select(F.col("r.id").alias("id"), F.col("r._key").alias("_key"), "signature", "set1", "set2"), "nodes")
+    nodes = sets.groupBy("set1", "set2").agg(F.min(F.struct("id", "_key")).alias("r"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+    nodes = settle(nodes.select(F.col("r.id").alias("id"), F.col("r._key").alias("_key"), "signature", "n_shingles", "set1", "set2"), "nodes")
     # sets that agree at `percent` miss this number of equal values with a probability below 1e-7
     share = percent / 100
     least = int(VALUES * share - 5.5 * (VALUES * share * (1 - share)) ** 0.5)
@@ -213,9 +310,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, word: np.
     rest = pairs.drop("agree").join(first.select("a_key", "b_key"), ["a_key", "b_key"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.filter("a_part is null or b_part is null or a_part <> b_part").select("a", "a_key", "b", "b_key")
     more = settle(confirm(rest, texts, size, word, percent), "confirmed")
+    # what is joined so far counts as one link a node
+    star = lambda parts: parts.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    joined = components(star(joined).unionByName(more))
+    every = keyed.select("_key", F.col("text").cast("binary").alias("text"))
+    crowded = settle(crowds(nodes, joined, every, least, size, word, percent), "crowded")
     # rows of equal sets or of equal ids hang together by the smallest id of the set
     same = sets.join(nodes.select("set1", "set2", F.col("id").alias("b")), ["set1", "set2"]).filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
-    parts = components(links.unionByName(more).unionByName(same))
+    parts = components(star(joined).unionByName(crowded).unionByName(same))
     out = rows.select("id", "n_shingles").join(parts, F.col("id") == F.col("node"), "left")
     out = out.withColumn("component_id", F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_column), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))

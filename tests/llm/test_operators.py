@@ -155,6 +155,33 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert got.select("component_id").distinct().count() == 1
 
 
+def test_star_of_variants_is_one_component(spark):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(302)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        words = list(base)
+        for k in rng.sample(range(1, 60), 7):
+            words[k * 5] = f"x{i}"  # 21 of 300 shingles: 0.87 of the first text, about 0.76 of one another
+        rows.append((i, " ".join(words)))
+    got = minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), size=3, percent=85)
+    assert got.groupBy("component_id").count().collect() == [(0, 1001)]
+
+
+@pytest.mark.parametrize("rows_of_block", [512, 100])
+def test_pairs_among_texts_of_one_template(spark, monkeypatch, rows_of_block):
+    monkeypatch.setattr(minhash_forest, "ROWS", rows_of_block)
+    frame = [f"w{k}" for k in range(249)]
+    rows = [(i, " ".join(frame + [f"x{i}_{k}" for k in range(51)])) for i in range(600)]  # 0.7 alike
+    for i in range(30):  # 0.86 alike to one of them
+        words = rows[i * 20][1].split()
+        words[265:288] = [f"y{i}_{k}" for k in range(23)]
+        rows.append((1000 + i, " ".join(words)))
+    got = minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), size=3, percent=84)
+    parts = {r["doc_id"]: r["component_id"] for r in got.collect()}
+    assert parts == {i: i for i in range(600)} | {1000 + i: i * 20 for i in range(30)}
+
+
 def test_warc(spark):
     big = "<p>é</p>" * 40_000
     rows = [(5, "http://a", "<p>x</p>"), (3, "http://b c\n", "<p>x</p>"), (9, None, ""), (8, "u", None), (7, "v", big), (6, "w", big)]
