@@ -7,7 +7,9 @@ as context. The model is trained here, on pages that `sample_page` makes up from
 layouts, with a fixed seed; nothing is read from the data.
 
 Null and empty html have an empty text. Pages are read whole and independently of one
-another, so repeated rows repeat. Tags may be unclosed or misplaced.
+another, so repeated rows repeat. Tags may be unclosed or misplaced: elements without text
+(icons, frames, templates) end at the close that matches, an empty or unclosed one is its
+tag only; scripts and styles end at the next close or with the page.
 """
 
 from __future__ import annotations
@@ -34,10 +36,37 @@ TOKEN = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input svg path".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style template iframe object svg math canvas".split())
+RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "iframe")}  # hold no tags
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
+def silent_ends(page: str) -> dict[int, int]:
+    """Where the elements without text end, by the start of their opening tags; unclosed ones have no entry."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {name: [] for name in SILENT}
+    endless = False
+    place = 0
+    while m := TAG.search(page, place):
+        start, place = m.span()
+        name = (m.group(2) or m.group(5) or "").lower()
+        if name not in SILENT:
+            continue
+        if m.group(1) or m.group(4):
+            if opened[name]:
+                found[opened[name].pop()] = place
+        elif m.group().endswith("/>") and (name in ("svg", "math") or opened["svg"] or opened["math"]):
+            found[start] = place
+        elif name not in RAW:
+            opened[name].append(start)
+        elif not (name == "iframe" and endless):
+            stop = RAW[name].search(page, place)
+            if stop or name != "iframe":
+                place = found[start] = stop.end() if stop else len(page)
+            endless = endless or not stop
+    return found
+
+
 def blocks(page: str) -> list[tuple[str, str, str, float]]:
     """Text blocks in page order: text, tag path, innermost tags, share of text in links."""
     out: list = []
@@ -65,11 +94,9 @@ def blocks(page: str) -> list[tuple[str, str, str, float]]:
         if in_link:
             linked += len(piece)
 
-    skip_until = 0
-    for m in TAG.finditer(page):
+    ends = silent_ends(page)
+    while m := TAG.search(page, place):
         start, end = m.span()
-        if start < skip_until:
-            continue
         if start > place:
             add(page[place:start])
         place = end
@@ -79,8 +106,7 @@ def blocks(page: str) -> list[tuple[str, str, str, float]]:
         name = name.lower()
         closing = bool(m.group(1) or m.group(4))
         if name in SILENT and not closing:
-            stop = re.compile(rf"</{name}\s*>", re.I).search(page, end)
-            place = skip_until = stop.end() if stop else len(page)
+            place = ends.get(start, end)
             continue
         if name == "a":
             in_link = 0 if closing else 1

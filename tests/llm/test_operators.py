@@ -215,6 +215,20 @@ def test_labeller_on_pages_it_has_not_seen(spark):
     assert got[1] == got[2] == "" and got[3] == "A & B " + "word " * 30 + "twothree"
 
 
+def test_elements_without_text_end_where_they_close():
+    texts_of = lambda page: [b[0] for b in block_labeller.blocks(page)]
+    assert texts_of("<p>a</p><svg class=i /><p>b</p><math/><p>c<svg><path/></svg>d</p>") == ["a", "b", "cd"]
+    for name in ("svg", "math", "iframe", "object", "canvas", "template"):
+        assert texts_of(f"<p>a</p><{name} x=1><p>b</p>") == ["a", "b"], name
+        assert texts_of(f"<p>a</p><{name}>x</{name}><p>b</p>") == ["a", "b"], name
+    for name in ("svg", "math", "object", "canvas", "template"):
+        assert texts_of(f"<p>a</p><{name}>x<{name.upper()}>y</{name}>z</{name} ><p>b</p>") == ["a", "b"], name
+        assert texts_of(f"<p>a</p><{name}><p>b</p><{name}>x</{name}><p>c</p>") == ["a", "b", "c"], name
+    assert texts_of("<p>a</p><svg><svg/>x</svg><p>b</p><svg><script/>x</svg><p>c</p>") == ["a", "b", "c"]
+    assert texts_of("<p>a</p><script>'<svg>'</script><p>b</p><svg>x<!-- </svg> -->y</svg><p>c</p>") == ["a", "b", "c"]
+    assert texts_of("<p>a</p><style>x</style><p>b</p><script>x <p>c</p>") == ["a", "b"]
+
+
 @pytest.mark.parametrize("kinds", [1, 3, 60_000])
 def test_coder_round_trip(kinds):
     rng = np.random.default_rng(kinds)
