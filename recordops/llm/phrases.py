@@ -38,6 +38,7 @@ CLASS_MASS = 1 << 24  # runs in a class, about
 ROW_KEYS = 1 << 14  # keys in one shuffled row
 MOST_BITS = 29  # of the filter of survivors
 KEY_BITS = 40
+PARTS = 256  # into which the phrases of a language are dealt before the best are sought
 WORD = byte_classes([(0x20, 0x20), (0x09, 0x09)] + [(ord(c), ord(c)) for c in ".,;:!?"] + [(0x0A, 0x0D)])
 BREAK = ~byte_classes([(ord(c), ord(c)) for c in ".,;:!?"] + [(0x0A, 0x0D)])
 SUMMARY = "class int, kind int, mass long, keys binary, counts binary"
@@ -198,7 +199,7 @@ def survivors(texts: DataFrame, classes: int, least: int, longest: int) -> DataF
             yield result()
 
     sent = bounded(texts).mapInArrow(local, SUMMARY)
-    sent = sent.repartition(classes, "class").sortWithinPartitions("class", "kind")
+    sent = sent.repartitionById(classes, F.col("class")).sortWithinPartitions("class", "kind")
     return sent.mapInArrow(merged, "mark long")
 
 
@@ -285,8 +286,8 @@ def collocations(
     counts = runs.filter("size > 0")
     phrases = counts.filter("size > 1").select("lang", "size", "phrase", F.col("f").alias("a"), F.split("phrase", " ", -1).alias("words"))
     cuts = phrases.select("lang", "phrase", "a", "size", "words", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
-    part = lambda start, length: F.array_join(F.slice("words", start, length), " ")
-    cuts = cuts.select("lang", "phrase", "a", "k", part(F.lit(1), F.col("k")).alias("first"), part(F.col("k") + 1, F.col("size") - F.col("k")).alias("rest"))
+    words_from = lambda start, length: F.array_join(F.slice("words", start, length), " ")
+    cuts = cuts.select("lang", "phrase", "a", "k", words_from(F.lit(1), F.col("k")).alias("first"), words_from(F.col("k") + 1, F.col("size") - F.col("k")).alias("rest"))
     for name, value in (("first", "l"), ("rest", "r")):
         known = counts.select("lang", F.col("phrase").alias(name), F.col("f").alias(value))
         cuts = cuts.join(known, ["lang", name])
@@ -299,7 +300,10 @@ def collocations(
     inside = phrases.filter("size > 2").select("lang", "a", F.explode(inner).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = worst.join(inside, ["lang", "phrase"], "left").filter(f"longer is null or 100 * longer < {absorbed} * a")
     order = [F.desc("cut.score"), F.desc("a"), F.asc("phrase")]
-    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
+    # A language's best are among the best of its parts, so no task gets all phrases of a large language.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    ranked = kept.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     words = runs.filter("size = 0").select("lang", F.col("f").alias("n"))
     long = lambda c: F.col(c).cast("long")
     return ranked.join(words, "lang").select("lang", long("rank").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", long("cut.score").alias("score"))
