@@ -19,9 +19,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Bounds of the batches that go to Python, in rows and in bytes. They are settings of the session, read when
+#: a plan runs and not when it is built, so they stay set; a session that sets them itself keeps smaller ones.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
+
 def bounded(df: DataFrame) -> DataFrame:
-    """Asks Spark for small batches of rows to Python, since rows may hold long texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Asks Spark for small batches to Python, since rows may hold long texts; a longer text is a batch of its own."""
+    conf = df.sparkSession.conf
+    for name, most in BATCH.items():
+        value = conf.get(name, None)
+        if value is None or not 0 < int(str(value).rstrip("b")) <= most:
+            conf.set(name, str(most))
     return df
 
 

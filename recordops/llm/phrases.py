@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from recordops.llm.base import LOWER, bounded, byte_classes, flat_bytes, mix, settle, slices, word_spans
 
 SLICE = 1 << 22  # bytes of text looked at together
-FLUSH = 3 << 20  # different runs that a map task holds
+FLUSH = 1 << 21  # different runs that a map task holds
 CLASS_MASS = 1 << 24  # runs in a class, about
-ROW_KEYS = 1 << 14  # keys in one shuffled row
+ROW_KEYS = 1 << 12  # keys in one shuffled row
 MOST_BITS = 29  # of the filter of survivors
 KEY_BITS = 40
 PARTS = 256  # into which the phrases of a language are dealt before the best are sought
@@ -184,7 +184,8 @@ def survivors(texts: DataFrame, classes: int, least: int, longest: int) -> DataF
             return pa.RecordBatch.from_arrays([pa.array(mix(keys).view(np.int64), pa.int64())], names=["mark"])
 
         for batch in batches:
-            for name, kind, part, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            for at in range(batch.num_rows):
+                name, kind, part, keys, counts = (c[at].as_py() for c in batch.columns)
                 if name != now:
                     if summary is not None:
                         yield result()
