@@ -18,6 +18,7 @@ from recordops.operators.ranking import first_per_key
 Keys = list[str | tuple[str, str]]
 
 STRETCH = 60
+LOOK_UP = 960
 
 
 def key_pairs(keys: Keys) -> list[tuple[str, str]]:
@@ -158,17 +159,35 @@ def covered_days(intervals: DataFrame, keys: list[str], start: str, end: str) ->
     the last end, up to which every day after the stretch is covered. However
     many intervals a key has, it keeps at most one row per stretch of the
     calendar, and they are combined before the shuffle.
+
+    An interval that goes on into later parts of the calendar (of `LOOK_UP`
+    days) is cut at their borders. All that reaches into a part starts in its
+    first stretch then and is one row with the others that do, so a date, which
+    is looked up by key and part, meets at most `LOOK_UP / STRETCH` rows.
     """
     first, last = (F.unix_date(F.col(n).cast("date")) for n in (start, end))
-    base = (F.floor(first / STRETCH) * STRETCH).cast("int")
-    spans = intervals.filter(F.col(start).cast("date") <= F.col(end).cast("date")).select(
-        *keys, base.alias("_base"), (first - base).alias("_low"), last.alias("_last")
+    spans = intervals.filter(F.col(start).cast("date") <= F.col(end).cast("date"))
+    part = lambda day: F.floor(day / LOOK_UP).cast("int")
+    spans = spans.select(
+        *keys,
+        first.alias("_first"),
+        last.alias("_end"),
+        F.explode(F.sequence(part(first), part(last))).alias("_part"),
+    )
+    low = F.greatest("_first", F.col("_part") * LOOK_UP)
+    base = (F.floor(low / STRETCH) * STRETCH).cast("int")
+    spans = spans.select(
+        *keys,
+        "_part",
+        base.alias("_base"),
+        (low - base).alias("_low"),
+        F.least(F.col("_end"), (F.col("_part") + 1) * LOOK_UP - 1).alias("_last"),
     )
     high = F.least(F.col("_last") - F.col("_base"), F.lit(STRETCH - 1))
     one = F.lit(1).cast("bigint")
     run = F.call_function("shiftleft", one, high - F.col("_low") + 1) - one
     mask = F.call_function("shiftleft", run, F.col("_low"))
-    return spans.groupBy(*keys, "_base").agg(
+    return spans.groupBy(*keys, "_part", "_base").agg(
         F.bit_or(mask).alias("_mask"), F.max("_last").alias("_last")
     )
 
@@ -178,10 +197,12 @@ def _interval_existence(left, intervals, keys, date, start, end, how) -> DataFra
     days = covered_days(intervals, [r for _, r in pairs], start, end)
     days, names = _aliased(days, pairs, null_safe=True)
     day = F.unix_date(F.col(date).cast("date"))
+    part = F.floor(day / LOOK_UP).cast("int") == F.col("_part")
     place = day - F.col("_base")
     bit = F.call_function("shiftright", F.col("_mask"), place).bitwiseAND(F.lit(1)) == 1
     covered = F.when(place < STRETCH, bit).otherwise(day <= F.col("_last"))
-    return left.join(days, _condition(left, days, pairs, names) & (place >= 0) & covered, how)
+    same = _condition(left, days, pairs, names) & part
+    return left.join(days, same & (place >= 0) & covered, how)
 
 
 def covered_by_interval(
