@@ -17,7 +17,7 @@ from recordops.operators.combine import (
 )
 from recordops.operators.joins import lookup
 from recordops.operators.ranking import first_per_key
-from recordops.operators.trend import local_regression
+from recordops.operators.trend import local_regression, regression_grid
 from recordops.plans.reports import (
     Module,
     covered_by_code,
@@ -380,6 +380,41 @@ def d27_local_regression(t: Tables):
     return fitted.select("series", "x", F.round("trend", 4).alias("trend"))
 
 
+#: From the points m (series, x, y): the grid g of 80 places with the cubic pieces they lie in.
+GRID = """
+    n AS (SELECT *, count(*) OVER (PARTITION BY series) AS n, row_number() OVER (PARTITION BY series ORDER BY x) AS number FROM m),
+    v AS (SELECT *, floor(n * 0.35 + 1e-5) AS near FROM n WHERE (number - 1) % greatest(floor(floor(n * 0.35 + 1e-5) * 0.2), 1) = 0 OR number = n),
+    pairs AS (SELECT v.series, v.x, v.near, b.x AS bx, b.y AS py, abs(b.x - v.x) AS d,
+                     row_number() OVER (PARTITION BY v.series, v.x ORDER BY abs(b.x - v.x), b.x) AS r FROM v JOIN n b USING (series)),
+    h AS (SELECT series, x, max(CASE WHEN r = near THEN d END) AS h FROM pairs GROUP BY 1, 2),
+    w AS (SELECT p.series, p.x, h, (bx - p.x) / h AS u, py, pow(1 - pow(abs((bx - p.x) / h), 3), 3) AS w
+          FROM pairs p JOIN h ON p.series = h.series AND p.x = h.x WHERE d < h),
+    s AS (SELECT series, x, h, sum(w) AS s0, sum(w*u) AS s1, sum(w*u*u) AS s2, sum(w*u*u*u) AS s3, sum(w*u*u*u*u) AS s4,
+                 sum(w*py) AS t0, sum(w*u*py) AS t1, sum(w*u*u*py) AS t2 FROM w GROUP BY 1, 2, 3),
+    f AS (SELECT *, s0*(s2*s4-s3*s3) - s1*(s1*s4-s2*s3) + s2*(s1*s3-s2*s2) AS det FROM s),
+    c AS (SELECT series, x, (t0*(s2*s4-s3*s3) - s1*(t1*s4-s3*t2) + s2*(t1*s3-s2*t2)) / det AS fit,
+                 (s0*(t1*s4-s3*t2) - t0*(s1*s4-s2*s3) + s2*(s1*t2-t1*s2)) / det / h AS slope FROM f),
+    pieces AS (SELECT *, lead(x) OVER o AS x2, lead(fit) OVER o AS fit2, lead(slope) OVER o AS slope2,
+                      min(x) OVER (PARTITION BY series) AS lo, max(x) OVER (PARTITION BY series) AS hi FROM c WINDOW o AS (PARTITION BY series ORDER BY x)),
+    grid AS (SELECT series, k AS place, lo + k * ((hi - lo) / 79.0::DOUBLE) AS gx
+             FROM (SELECT DISTINCT series, lo, hi FROM pieces), (SELECT unnest(range(80)) AS k)),
+    g AS (SELECT grid.*, p.*, (gx - x) / (x2 - x) AS u FROM grid JOIN pieces p ON p.series = grid.series AND x2 IS NOT NULL
+          AND gx >= x - 1e-6 AND (gx < x2 - 1e-6 OR x2 = hi) QUALIFY row_number() OVER (PARTITION BY grid.series, place ORDER BY x) = 1)
+"""
+
+
+@query("""
+    WITH m AS (SELECT o_orderstatus AS series, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) // 7 AS DOUBLE) AS x,
+                      CAST(count(*) AS DOUBLE) AS y FROM orders GROUP BY 1, 2),""" + GRID + """    SELECT series, place, round(gx, 6) AS x,
+      round(fit*(1+2*u)*(1-u)*(1-u) + slope*(x2-x)*u*(1-u)*(1-u) + fit2*u*u*(3-2*u) + slope2*(x2-x)*u*u*(u-1), 3) AS trend FROM g
+""")
+def d27_trend_grid(t: Tables):
+    week = F.floor(F.unix_date(F.col("o_orderdate").cast("date")) / 7).alias("x")
+    weekly = t.orders.groupBy(F.col("o_orderstatus").alias("series"), week).agg(n_rows().alias("y"))
+    grid = regression_grid(weekly, ["series"], "x", "y", span=0.35, points=80)
+    return grid.select("series", "place", F.round("x", 6).alias("x"), F.round("trend", 3).alias("trend"))
+
+
 @query("""
     SELECT 1 AS position, 'all' AS stage, count(*) AS records FROM lineitem
     UNION ALL SELECT 2, 'returned', count(*) FROM lineitem WHERE l_returnflag = 'R'

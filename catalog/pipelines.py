@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from catalog.aggregates import CODED, coded
+from catalog.aggregates import GRID
 from catalog.registry import Tables, query
 from catalog.scalars import person_key, person_key_column
 from recordops import fixed_values as fixed
@@ -15,7 +16,7 @@ from recordops.operators.aggregates import extent, frequency, with_group_total
 from recordops.operators.combine import distinct_values, stack_labelled
 from recordops.operators.joins import lookup, match_audit
 from recordops.operators.ranking import row_ids
-from recordops.operators.trend import local_regression
+from recordops.operators.trend import local_regression, regression_grid
 from recordops.plans import candidates, coordinates, person_keys, reports, series
 from recordops.plans import supplements, teams
 from recordops.sources.readers import literal_table
@@ -572,6 +573,19 @@ def i10_series_trend(t: Tables):
     return fitted.select("origin", "date", F.round("trend", 3).alias("trend"))
 
 
+@query(CUBE + """,
+    m AS (SELECT origin AS series, CAST(CAST(m AS DATE) - DATE '1970-01-01' AS DOUBLE) AS x, CAST(total AS DOUBLE) / 1000 AS y FROM s),""" + GRID + """
+    SELECT series AS origin, place, round(gx, 3) AS day,
+      round(fit*(1+2*u)*(1-u)*(1-u) + slope*(x2-x)*u*(1-u)*(1-u) + fit2*u*u*(3-2*u) + slope2*(x2-x)*u*u*(u-1), 3) AS trend FROM g
+""")
+def i10_drawn_trend(t: Tables):
+    monthly = cube_series(t).select(
+        "origin", F.unix_date("date").alias("day"), (F.col("total") / 1000).alias("thousands")
+    )
+    grid = regression_grid(monthly, ["origin"], "day", "thousands", span=0.35, points=80)
+    return grid.select("origin", "place", F.round("day", 3).alias("day"), F.round("trend", 3).alias("trend"))
+
+
 # --- I11, I12, I14, I15: teams ----------------------------------------------------------
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
