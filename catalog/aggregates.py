@@ -389,9 +389,9 @@ GRID = """
     h AS (SELECT series, x, max(CASE WHEN r = near THEN d END) AS h FROM pairs GROUP BY 1, 2),
     w AS (SELECT p.series, p.x, h, (bx - p.x) / h AS u, py, pow(1 - pow(abs((bx - p.x) / h), 3), 3) AS w
           FROM pairs p JOIN h ON p.series = h.series AND p.x = h.x WHERE d < h),
-    s AS (SELECT series, x, h, sum(w) AS s0, sum(w*u) AS s1, sum(w*u*u) AS s2, sum(w*u*u*u) AS s3, sum(w*u*u*u*u) AS s4,
+    moments AS (SELECT series, x, h, sum(w) AS s0, sum(w*u) AS s1, sum(w*u*u) AS s2, sum(w*u*u*u) AS s3, sum(w*u*u*u*u) AS s4,
                  sum(w*py) AS t0, sum(w*u*py) AS t1, sum(w*u*u*py) AS t2 FROM w GROUP BY 1, 2, 3),
-    f AS (SELECT *, s0*(s2*s4-s3*s3) - s1*(s1*s4-s2*s3) + s2*(s1*s3-s2*s2) AS det FROM s),
+    f AS (SELECT *, s0*(s2*s4-s3*s3) - s1*(s1*s4-s2*s3) + s2*(s1*s3-s2*s2) AS det FROM moments),
     c AS (SELECT series, x, (t0*(s2*s4-s3*s3) - s1*(t1*s4-s3*t2) + s2*(t1*s3-s2*t2)) / det AS fit,
                  (s0*(t1*s4-s3*t2) - t0*(s1*s4-s2*s3) + s2*(s1*t2-t1*s2)) / det / h AS slope FROM f),
     pieces AS (SELECT *, lead(x) OVER o AS x2, lead(fit) OVER o AS fit2, lead(slope) OVER o AS slope2,

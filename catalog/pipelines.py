@@ -6,8 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from catalog.aggregates import CODED, coded
-from catalog.aggregates import GRID
+from catalog.aggregates import CODED, GRID, coded
 from catalog.registry import Tables, query
 from catalog.scalars import person_key, person_key_column
 from recordops import fixed_values as fixed
