@@ -51,7 +51,7 @@ def c4_full_join(t: Tables):
 
     orders = monthly(t.orders, "o_orderdate", "o_orderstatus", "orders")
     items = monthly(t.lineitem, "l_shipdate", "l_linestatus", "items")
-    return ops.full_join(orders, items, ["year", "month", "status"])
+    return ops.full_join(orders, items, ["year", "month", "status"], unique=True)
 
 
 @query("""

@@ -19,6 +19,7 @@ from recordops.operators.trend import local_regression, regression_grid
 from recordops.plans import candidates, coordinates, person_keys, reports, series
 from recordops.plans import supplements, teams
 from recordops.sources.readers import literal_table
+from recordops.sources.writers import written
 
 
 def n_rows():
@@ -125,7 +126,7 @@ def i2_lost_rows(t: Tables):
         ELSE 'Longitud no convertida' END AS cause, count(*) AS n FROM f WHERE fate <> 'valid' GROUP BY 1
 """)
 def i2_audit_by_joins(t: Tables):
-    df = row_ids(messy_places(t), ["k"], "id")
+    df = written(row_ids(messy_places(t), ["k"], "id"), "places")
     parts = coordinates.clean_coordinates(df, "lat", "lon", review_missing_text=False)
     names = ["numeric_review", "text_review", "final_review"]
     reviews = [parts[n].select("id", "cause") for n in names]
@@ -613,7 +614,7 @@ def team_people(t: Tables):
     people = lookup(t.customer, places, [("c_nationkey", "n_nationkey")])
     return people.select(
         "c_custkey",
-        "c_acctbal",
+        "c_name",
         F.col("r_name").alias("state"),
         small_cluster("n_name", "c_custkey", 250).alias("cluster"),
         F.col("c_mktsegment").alias("position"),
@@ -974,17 +975,21 @@ def i17_unassigned(t: Tables):
     return allocated(t)["unassigned"].select("cluster", "position", "key", "name")
 
 
-@query(SLOTS + """
-    , done AS (SELECT n_name || '-' || c_custkey // 250 AS cluster, CAST(c_custkey AS VARCHAR) AS key, c_name AS name, 'complete' AS team
-               FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9850),
+def complete_people(t: Tables):
+    """Everyone in a cluster that forms a complete team."""
+    return teams.complete_members(team_people(t), ["state", "cluster"], "position", "c_custkey", SEGMENTS)
+
+
+@query(TEAMS + SLOTS.replace("WITH", ",", 1) + """
+    , done AS (SELECT cluster, CAST(c_custkey AS VARCHAR) AS key, c_name AS name, 'complete' AS team
+               FROM people JOIN customer USING (c_custkey) WHERE cluster IN (SELECT cluster FROM g WHERE teams >= 1)),
     rest AS (SELECT cluster, key, name, position FROM slots s WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.cluster = s.cluster AND done.key = s.key))
     SELECT cluster, key, name, position, NULL AS team FROM rest UNION ALL SELECT cluster, key, name, NULL, team FROM done
 """)
 def i17_with_complete_teams(t: Tables):
     slots = allocated(t)["slots"].select("cluster", "key", "name", "position")
-    members = lookup(t.customer, t.nation, [("c_nationkey", "n_nationkey")])
-    members = members.filter(F.col("c_acctbal") > 9850).select(
-        small_cluster("n_name", "c_custkey", 250).alias("cluster"),
+    members = complete_people(t).select(
+        "cluster",
         F.col("c_custkey").cast("string").alias("key"),
         F.col("c_name").alias("name"),
         F.lit("complete").alias("team"),
@@ -995,14 +1000,14 @@ def i17_with_complete_teams(t: Tables):
 
 
 @query(TEAMS + """
-    , done AS (SELECT DISTINCT cluster, c_custkey FROM people JOIN customer USING (c_custkey) WHERE c_acctbal > 9800),
+    , done AS (SELECT cluster, c_custkey FROM people WHERE cluster IN (SELECT cluster FROM g WHERE teams >= 1)),
     n AS (SELECT cluster, least(BUILDING, FURNITURE, HOUSEHOLD, MACHINERY) AS teams FROM c)
     SELECT p.cluster, p.c_custkey AS key, p.position, n.teams, (SELECT CAST(sum(teams) AS BIGINT) FROM n) AS all_teams
     FROM people p JOIN n USING (cluster) WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.c_custkey = p.c_custkey)
 """)
 def i16_candidate_teams(t: Tables):
     people = team_people(t).withColumnsRenamed({"c_custkey": "key", "state": "cluster_state"})
-    complete = people.filter(F.col("c_acctbal") > 9800).select("cluster", "key")
+    complete = complete_people(t).select("cluster", F.col("c_custkey").alias("key"))
     made = candidates.candidate_teams(
         people, complete, positions=SEGMENTS, needed=[s for s in SEGMENTS if s != "AUTOMOBILE"]
     )

@@ -104,15 +104,35 @@ def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return lookup(left, right, shared_columns(left, right), "inner")
 
 
-def full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def full_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    unique: bool = False,
+    split_hot: bool = False,
+) -> DataFrame:
     """Full outer join on equally named keys, missing keys matching (C4).
 
-    Written as a left join plus the right rows without a partner: a full outer
-    join cannot be split when a key is hot, these two can.
+    `unique` tells that neither side has a key twice, missing keys included:
+    then both sides are put under each other and grouped by key, which needs one
+    exchange of the rows and reads each side once; the other columns must have
+    different names. Otherwise it is a plain full outer join. That cannot be
+    split when a key is hot; `split_hot` writes it as a left join plus the right
+    rows without a partner, which can, at the price of reading both sides twice.
     """
-    left_part = lookup(left, right, keys)
-    right_part = unmatched(right, left, keys)
-    return left_part.unionByName(right_part, allowMissingColumns=True)
+    if unique:
+        rest = [c for df in (left, right) for c in df.columns if c not in keys]
+        both = left.unionByName(right, allowMissingColumns=True)
+        return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest])
+    if split_hot:
+        left_part = lookup(left, right, keys)
+        return left_part.unionByName(unmatched(right, left, keys), allowMissingColumns=True)
+    pairs = key_pairs(keys)
+    other, names = _aliased(right.withColumn("_right", F.lit(True)), pairs, null_safe=True)
+    joined = left.withColumn("_left", F.lit(True))
+    joined = joined.join(other, _condition(joined, other, pairs, names), "full")
+    known = {k: F.when(F.col("_left"), F.col(k)).otherwise(F.col(n)) for (k, _), n in zip(pairs, names)}
+    return joined.withColumns(known).drop(*names, "_left", "_right")
 
 
 def flag_matches(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordops import fixed_values as fixed
@@ -21,14 +21,10 @@ from recordops.operators.joins import (
     unmatched,
     unmatched_on_shared,
 )
-from recordops.operators.ranking import (
-    attach_group,
-    duplicate_group_ids,
-    first_per_key,
-    top_per_key,
-)
+from recordops.operators.ranking import first_per_key, row_ids, top_per_key
 from recordops.plans.person_keys import recover_names, split_validated, validate_keys
 from recordops.plans.teams import form_teams
+from recordops.sources.writers import written, written_parts
 
 
 def dedupe_by_status(
@@ -40,6 +36,7 @@ def dedupe_by_status(
     original_keys: list | None = None,
     valid_sites: DataFrame | None = None,
     site: tuple[str, str] | None = None,
+    not_anchor: str = fixed.NOT_ANCHOR_REASON,
 ) -> dict[str, DataFrame]:
     """Repeated records reduced to those with a working link.
 
@@ -47,21 +44,26 @@ def dedupe_by_status(
     occur once stay. Of a repeated record the rows with its first working link
     stay: none if no link works, several if they share it. With `original`, the
     rows of that table that are missing from the result are listed as well, with
-    the reason.
+    the reason. The first working link of a record is found in the aggregate
+    that counts its rows, and all rows are stored once, by part.
     """
-    numbered = duplicate_group_ids(df, keys, "duplicates")
-    repeated = numbered.filter(F.col("duplicates") > 0).select("duplicates", link).distinct()
-    working = matched(repeated, status.filter("works"), [(link, link)])
-    good = first_per_key(working, ["duplicates"], [link])
-    flagged = flag_matches(numbered, good, ["duplicates", link], "_good")
-    kept = flagged.filter((F.col("duplicates") == 0) | F.col("_good")).drop("_good")
-    broken = flagged.filter((F.col("duplicates") > 0) & ~F.col("_good")).drop("_good")
+    works = flag_matches(df.select(*keys, link), status.filter("works"), [link], "_works")
+    first = F.min(F.when(F.col("_works"), F.struct(F.col(link).isNull().alias("blank"), F.col(link).alias("link"))))
+    groups = works.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+    groups = row_ids(groups.filter("_n > 1"), keys, "duplicates").drop("_n")
+    flagged = lookup(df, groups, keys)
+    good = F.col("_first").isNotNull() & F.col(link).eqNullSafe(F.col("_first.link"))
+    part = F.when(F.col("duplicates").isNull() | good, "kept").otherwise("broken")
+    flagged = flagged.withColumns({"duplicates": F.coalesce("duplicates", F.lit(0)), "_part": part})
+    stored = written_parts(flagged.drop("_first"), ["_part"], "deduped")
+    kept = stored.filter("_part = 'kept'").drop("_part")
+    broken = stored.filter("_part = 'broken'").drop("_part")
     broken = broken.withColumn("reason", F.lit(fixed.BROKEN_LINK_REASON))
     if original is None:
         return {"kept": kept, "removed": broken}
     gone = unmatched(original, kept, original_keys)
     gone = flag_matches(gone, valid_sites, [site], "_site")
-    reason = F.when(~F.col("_site"), fixed.NOT_ANCHOR_REASON).otherwise(fixed.LATER_FILTER_REASON)
+    reason = F.when(~F.col("_site"), not_anchor).otherwise(fixed.LATER_FILTER_REASON)
     gone = gone.withColumn("reason", reason).drop("_site")
     return {"kept": kept, "removed": stack(gone, broken)}
 
@@ -120,7 +122,8 @@ def prepare_candidates(
     df = df.withColumn("cluster_state", F.coalesce("cluster_state", "state"))
     same = ["cluster_state", "facility", "site_name", "key", "role_name", "role", "status"]
     same.append("cluster")
-    df = attach_group(df, same, n_duplicates=F.count(F.lit(1)))
+    # One row per key and facility is left, so a group has at most the facilities that one was mapped to.
+    df = df.withColumn("n_duplicates", F.count(F.lit(1)).over(Window.partitionBy(*same)))
     checked = validate_keys(df, "key", key_pattern, key_length)
     previous = previous_names.filter(F.col("name").isNotNull())
     previous = previous.select(clean_key("key").alias("key_clean"), "name")
@@ -215,7 +218,8 @@ def allocate_slots(
     `cluster, position, role, status, name, key`, typed in any case and with
     blanks around; their `link` and `title` are kept where they have them, and
     the title of a slot is that of its person, the required one by default. One
-    person may fill slots in several clusters; only the audit is per person.
+    person may fill slots in several clusters; only the audit is per person. The
+    slots are stored once, by whether they are filled; all outputs read them there.
     """
     texts = {"cluster": F.trim("cluster")} | {c: F.upper(F.trim(c)) for c in ("role", "status")}
     candidates = candidates.withColumns(texts)
@@ -239,7 +243,10 @@ def allocate_slots(
             "final_title": F.coalesce(*[c for c in kept if c == "title"], "required_title"),
         }
     )
-    assigned = filled.filter("filled").select("key", "cluster", "position")
+    part = F.when(taken, "filled").otherwise("vacant")
+    filled = written_parts(filled.withColumn("_part", part), ["_part"], "slots")
+    assigned = filled.filter("_part = 'filled'").select("key", "cluster", "position")
+    filled = filled.drop("_part")
     assigned = first_per_key(assigned, ["key"], ["cluster", "position"]).withColumnsRenamed(
         {"cluster": "assigned_cluster", "position": "assigned_position"}
     )
@@ -332,11 +339,13 @@ def with_complete_teams(
     """Slots and the members of complete teams in one table.
 
     Slots whose person already is in the cluster's complete team are dropped
-    first. `clusters_left_out` are those found in neither table.
+    first. `clusters_left_out` are those found in neither table. The members, who
+    are needed twice, and the result are stored once.
     """
+    complete_teams = written(complete_teams, "members")
     people = complete_teams.withColumn("_key", clean_key("key"))
     open_slots = unmatched(slots.withColumn("_key", clean_key("key")), people, ["cluster", "_key"])
-    everything = full_join(open_slots.drop("_key"), complete_teams, keys)
+    everything = written(full_join(open_slots.drop("_key"), complete_teams, keys), "slots-and-teams")
     return {"all": everything, "clusters_left_out": unmatched(clusters, everything, ["cluster"])}
 
 

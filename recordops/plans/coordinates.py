@@ -21,6 +21,7 @@ from recordops.operators.columns import computed_once
 from recordops.operators.combine import stack
 from recordops.operators.joins import lookup, unmatched
 from recordops.operators.ranking import first_per_key
+from recordops.sources.writers import written_parts
 
 
 def _numeric_longitude(lat: Column, lon: Column) -> Column:
@@ -138,8 +139,8 @@ def coordinate_tables(
 
 
 def clean_coordinates(df: DataFrame, lat: str, lon: str, **options) -> dict[str, DataFrame]:
-    """The parts of `coordinate_tables` by name."""
-    tables = coordinate_tables(df, lat, lon, **options)
+    """The parts of `coordinate_tables` by name, from one pass whose result is stored by part."""
+    tables = written_parts(coordinate_tables(df, lat, lon, **options), ["part"], "coordinates")
     return {p: tables.filter(F.col("part") == p).drop("part") for p in PARTS}
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from recordops import fixed_values as fixed
 from recordops.functions.codes import clean_key, key_fits
 from recordops.functions.nulls import holds
-from recordops.operators.aggregates import repeated_rows, surplus
-from recordops.operators.joins import lookup, unmatched
+from recordops.operators.aggregates import surplus
+from recordops.operators.joins import lookup
+from recordops.operators.ranking import attach_group
+from recordops.sources.writers import written_parts
 
 
 def validate_keys(
@@ -53,21 +55,30 @@ def match_register(
     """A list of keys against a register (I4).
 
     `found` is a register column that is filled for every registered person, so a
-    missing value tells that the key was not found.
+    missing value tells that the key was not found. The matched table is stored
+    once, by part; every output is a read of its parts.
     """
-    everything = lookup(register, keys, [key], "right")
+    seen = register.withColumn("_seen", F.lit(True))
+    everything = lookup(seen, keys, [key], "right")
     known = F.col(found).isNotNull()
+    part = F.when(known, "matched").when(F.col("_seen"), "unmatched").otherwise("never_seen")
+    everything = everything.withColumn("_part", part)
+    everything = attach_group(everything, [key], _n=F.count(F.lit(1)))
+    everything = everything.withColumn("_repeated", (F.col("_n") > 1).cast("int")).drop("_seen", "_n")
+    stored = written_parts(everything, ["_part", "_repeated"], "matches")
+    rows = stored.drop("_part", "_repeated")
+    chosen = lambda condition: stored.filter(condition).select(*rows.columns)
     return {
-        "all": everything,
-        "repeated": repeated_rows(everything, [key]),
-        "unmatched": everything.filter(~known),
-        "matched": everything.filter(known),
-        "never_seen": unmatched(keys, register, [key]),
-        "summary": everything.agg(
+        "all": rows,
+        "repeated": chosen("_repeated = 1"),
+        "unmatched": chosen("_part <> 'matched'"),
+        "matched": chosen("_part = 'matched'"),
+        "never_seen": chosen("_part = 'never_seen'").select(*keys.columns),
+        "summary": stored.agg(
             F.count(F.lit(1)).alias("total"),
             surplus(key).alias("surplus"),
-            F.count_if(~known).alias("unmatched"),
-            F.count_if(known).alias("matched"),
+            F.count_if(F.col("_part") != "matched").alias("unmatched"),
+            F.count_if(F.col("_part") == "matched").alias("matched"),
         ),
     }
 

@@ -9,7 +9,7 @@ from recordops import fixed_values as fixed
 from recordops.functions.nulls import distinct_with_null
 from recordops.functions.text import recode
 from recordops.operators.aggregates import pivot_values, row_minimum
-from recordops.operators.joins import lookup, natural_join
+from recordops.operators.joins import lookup, matched, natural_join
 
 
 def _names_where(conditions: dict[str, Column]) -> Column:
@@ -59,6 +59,20 @@ def form_teams(
     )
 
 
+def complete_members(
+    people: DataFrame,
+    group: list[str],
+    position: str,
+    person: str,
+    positions: list[str] = tuple(fixed.POSITIONS),
+    needed: list[str] | None = None,
+) -> DataFrame:
+    """The people of the groups that form at least one complete team."""
+    formed = form_teams(people, group, position, person, positions, needed)
+    complete = formed.filter(F.col("teams") >= 1).select(*group)
+    return matched(people, complete, group, unique=True)
+
+
 def attach_teams(people: DataFrame, teams: DataFrame, group: list[str]) -> DataFrame:
     """Team results put on every person, 0 and '' for groups without."""
     flag = (F.col("teams") >= 1).cast("int").alias("forms_team")
