@@ -975,9 +975,9 @@ def i17_unassigned(t: Tables):
     return allocated(t)["unassigned"].select("cluster", "position", "key", "name")
 
 
-def complete_people(t: Tables):
+def complete_people(people):
     """Everyone in a cluster that forms a complete team."""
-    return teams.complete_members(team_people(t), ["state", "cluster"], "position", "c_custkey", SEGMENTS)
+    return teams.complete_members(people, ["state", "cluster"], "position", "c_custkey", SEGMENTS)
 
 
 @query(TEAMS + SLOTS.replace("WITH", ",", 1) + """
@@ -988,7 +988,7 @@ def complete_people(t: Tables):
 """)
 def i17_with_complete_teams(t: Tables):
     slots = allocated(t)["slots"].select("cluster", "key", "name", "position")
-    members = complete_people(t).select(
+    members = complete_people(team_people(t)).select(
         "cluster",
         F.col("c_custkey").cast("string").alias("key"),
         F.col("c_name").alias("name"),
@@ -1006,8 +1006,9 @@ def i17_with_complete_teams(t: Tables):
     FROM people p JOIN n USING (cluster) WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.c_custkey = p.c_custkey)
 """)
 def i16_candidate_teams(t: Tables):
-    people = team_people(t).withColumnsRenamed({"c_custkey": "key", "state": "cluster_state"})
-    complete = complete_people(t).select("cluster", F.col("c_custkey").alias("key"))
+    everyone = written(team_people(t), "people")
+    people = everyone.withColumnsRenamed({"c_custkey": "key", "state": "cluster_state"})
+    complete = complete_people(everyone).select("cluster", F.col("c_custkey").alias("key"))
     made = candidates.candidate_teams(
         people, complete, positions=SEGMENTS, needed=[s for s in SEGMENTS if s != "AUTOMOBILE"]
     )

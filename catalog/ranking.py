@@ -105,7 +105,8 @@ def f1_multi_key_sort(t: Tables):
 def f2_given_value_order(t: Tables):
     counts = frequency(t.customer, ["c_mktsegment"], "people")
     order = value_order("c_mktsegment", ["MACHINERY", "BUILDING"])
-    return ops.row_ids(counts, [order, "c_mktsegment"], "place")
+    numbered = ops.number_summary(counts, [order, "c_mktsegment"], "place")
+    return numbered.withColumn("place", F.col("place").cast("long"))
 
 
 @query("""

@@ -53,16 +53,23 @@ def keep_groups(df: DataFrame, keys: list[str], condition: Column) -> DataFrame:
     return df.join(chosen, same_keys(df, chosen, list(names.items())), "left_semi")
 
 
-def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows sorted into ranges, with the number of their range and their place in it.
+def _named(order_by: list[str]) -> list[str]:
+    return [name.removeprefix("-") for name in order_by]
+
+
+def _ranges(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """Keys and order columns sorted into ranges, with the number of their range and their place in it.
 
     Written once to the shared folder: places and range sizes must come from the
-    same ranges, also when an executor is lost. The order must be unique, which
-    also keeps the ranges even.
+    same ranges, also when an executor is lost. Only these columns are written;
+    `_attached` takes the numbers to the whole rows. The order must be unique,
+    which also keeps the ranges even.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "ranges")
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [*nulls_last(*keys), *nulls_last(*order_by)]
+    narrow = df.select(*dict.fromkeys([*keys, *_named(order_by)]))
+    ranged = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
     return spark.read.parquet(path).withColumns(
         {
@@ -72,6 +79,21 @@ def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
+def _attached(df: DataFrame, numbered: DataFrame, name: str) -> DataFrame:
+    """A number found for the keys and order columns, on the whole rows.
+
+    Rows that agree in all of these share the lowest number.
+    """
+    columns = [c for c in numbered.columns if c != name]
+    if set(df.columns) == set(columns):
+        return numbered.select(*df.columns, name)
+    numbered = numbered.groupBy(*columns).agg(F.min(name).alias(name))
+    names = {c: f"_key_{i}" for i, c in enumerate(columns)}
+    numbered = numbered.withColumnsRenamed(names)
+    out = df.join(numbered, same_keys(df, numbered, list(names.items())))
+    return out.select(*df.columns, name)
+
+
 def _earlier_ranges(sizes: DataFrame, keys: list[str]) -> DataFrame:
     """Rows in the ranges before; `sizes` is at most a few rows per range."""
     earlier = Window.partitionBy(*keys).orderBy("_range")
@@ -80,29 +102,42 @@ def _earlier_ranges(sizes: DataFrame, keys: list[str]) -> DataFrame:
     return sizes.withColumn("_before", before).drop("_size")
 
 
-def row_ids(df: DataFrame, order_by: list[ColumnOrName], name: str = "row_id") -> DataFrame:
+def row_ids(df: DataFrame, order_by: list[str], name: str = "row_id") -> DataFrame:
     """Consecutive ids 1..n in a stated, unique order.
 
-    Rows are sorted into ranges, and the sizes of the ranges before are added to
-    the place inside the range, so no task sees more than its own range.
+    The order columns are sorted into ranges, and the sizes of the ranges before
+    are added to the place inside the range, so no task sees more than its own
+    range; the whole rows are read once and meet their id by these columns.
     """
-    ranged = _ranges(df, nulls_last(*order_by))
+    ranged = _ranges(df, [], order_by)
+    columns = [c for c in ranged.columns if not c.startswith(("_place", "_range"))]
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     # One row per range.
     out = ranged.join(_earlier_ranges(sizes, []), "_range")
-    return out.select(*df.columns, (F.col("_before") + F.col("_place") + 1).alias(name))
+    out = out.select(*columns, (F.col("_before") + F.col("_place") + 1).alias(name))
+    return _attached(df, out, name)
+
+
+def number_summary(df: DataFrame, order_by: list[ColumnOrName], name: str = "row_id") -> DataFrame:
+    """Consecutive numbers for the rows of a summary, which are few: one per category or step (F2).
+
+    One task sorts them; for tables of any length there is `row_ids`.
+    """
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*nulls_last(*order_by))))
 
 
 def rank_within(
-    df: DataFrame, keys: list[str], order_by: list[ColumnOrName], rank: str = "rank"
+    df: DataFrame, keys: list[str], order_by: list[str], rank: str = "rank"
 ) -> DataFrame:
     """Rank of every row in its group, in a stated, unique order.
 
     For ranks without an upper limit: a hot group lies in many ranges, each
     ranked by itself. Only the group a range begins with can have rows in an
-    earlier range, so the rows to add are known from one group per range.
+    earlier range, so the rows to add are known from one group per range. The
+    whole rows are read once and meet their rank by keys and order columns.
     """
-    ranged = _ranges(df, [*nulls_last(*keys), *nulls_last(*order_by)])
+    ranged = _ranges(df, keys, order_by)
+    columns = [c for c in ranged.columns if not c.startswith(("_place", "_range"))]
     whole = Window.partitionBy("_range", *keys)
     ranged = ranged.withColumn("_first", F.min("_place").over(whole))
     names = {k: f"_key_{i}" for i, k in enumerate(keys)}
@@ -118,7 +153,7 @@ def rank_within(
     same &= F.col("_range") == F.col("_range_2")
     out = ranged.join(before, same, "left")
     place = F.coalesce("_before", F.lit(0)) + F.col("_place") - F.col("_first") + 1
-    return out.select(*df.columns, place.alias(rank))
+    return _attached(df, out.select(*columns, place.alias(rank)), rank)
 
 
 def duplicate_group_ids(

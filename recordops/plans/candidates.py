@@ -311,6 +311,7 @@ def candidate_teams(
     formed = form_teams(
         candidates, group, "position", "key", list(positions), list(needed), distinct=False
     ).select(*group, "teams")
+    formed = written(formed, "teams")  # one row per group, read for the base and for the total
     base = lookup(candidates, formed, group)
     if complete_teams is not None:
         base = unmatched_on_shared(base, complete_teams)

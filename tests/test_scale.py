@@ -147,3 +147,114 @@ def test_no_cartesian_product(spark, name):
 
     plan = final_plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize(
+    "name, scans, shuffles",
+    [
+        ("a9_year_split", 2, 3),
+        ("c4_full_join", 2, 2),
+        ("i2_audit_by_joins", 5, 10),
+        ("i4_match_tables", 6, 8),
+        ("i13_removed_with_reason", 8, 20),
+        ("i16_prepare_candidates", 6, 20),
+        ("i17_with_complete_teams", 8, 17),
+    ],
+)
+def test_sources_are_not_read_once_per_output(spark, no_broadcast, name, scans, shuffles):
+    import __spark_entry__ as entry
+
+    query = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= scans
+    assert plan.count("Exchange hashpartitioning") <= shuffles
+
+
+def test_dates_are_looked_up_by_key_and_part(spark, no_broadcast):
+    """A hot key with stays over a century: a date meets the rows of its own part only."""
+    days = F.pmod(F.xxhash64("id"), F.lit(36_500)).cast("int")
+    stays = spark.range(40_000).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 50).alias("k"),
+        F.date_from_unix_date(days).alias("s"),
+        F.date_from_unix_date(days + 2).alias("e"),
+    )
+    events = spark.range(40_000).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 60).alias("k"),
+        F.date_from_unix_date(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(36_500)).cast("int")).alias("d"),
+    )
+    rest = joins.not_covered_by_interval(events, stays, ["k"], "d", "s", "e")
+    plan = final_plan(rest)
+    join = next(line for line in plan.splitlines() if "Join [" in line and "LeftAnti" in line)
+    assert "_part" in join.split("], [", 1)[1].split("], LeftAnti")[0]
+    per_part = joins.covered_days(stays, ["k"], "s", "e").groupBy("k", "_part").count()
+    assert per_part.agg(F.max("count")).first()[0] <= joins.LOOK_UP / joins.STRETCH
+    covered = {(r["k"], r["d"]) for r in spark_days(stays).collect()}
+    want = sum((r["k"], r["d"]) not in covered for r in events.collect())
+    assert rest.count() == want
+
+
+def spark_days(stays):
+    return stays.select("k", F.explode(F.sequence("s", "e")).alias("d")).distinct()
+
+
+@pytest.mark.parametrize("how", [{}, {"split_hot": True}, {"unique": True}])
+def test_full_join_forms_agree(spark, how):
+    left = spark.createDataFrame([(1, "a", 1.0), (None, "b", 2.0), (2, None, None), (3, "c", 4.0)], "k int, j string, x double")
+    right = spark.createDataFrame([(1, "a", "p"), (None, "b", "q"), (2, None, "r"), (None, None, "s"), (9, "c", None)], "k int, j string, y string")
+    got = sorted(map(tuple, joins.full_join(left, right, ["k", "j"], **how).select("k", "j", "x", "y").collect()), key=str)
+    want = [(1, "a", 1.0, "p"), (None, "b", 2.0, "q"), (2, None, None, "r"), (3, "c", 4.0, None), (None, None, None, "s"), (9, "c", None, None)]
+    assert got == sorted(want, key=str)
+
+
+def test_full_join_keeps_repeated_keys(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, x string")
+    right = spark.createDataFrame([(1, "p"), (1, "q"), (3, "r")], "k int, y string")
+    for how in ({}, {"split_hot": True}):
+        got = joins.full_join(left, right, ["k"], **how).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([(1, x, y) for x in "ab" for y in "pq"] + [(2, "c", None), (3, None, "r")], key=str)
+
+
+def test_ids_of_whole_rows_with_ties(spark, many_ranges):
+    """Only order columns are put into ranges; rows that tie in them share the lowest id and stay single."""
+    rows = [(i % 7, i // 14, f"v{i}") for i in range(280)]
+    df = spark.createDataFrame(rows, "a int, b int, v string")
+    out = ranking.row_ids(df, ["-a", "b"], "n").collect()
+    assert len(out) == 280
+    order = sorted((-a, b) for a, b, _ in rows)
+    assert all(r["n"] == order.index((-r["a"], r["b"])) + 1 for r in out)
+    assert ranking.row_ids(df.limit(0), ["a"], "n").count() == 0
+
+
+def test_outputs_read_their_own_part(spark):
+    from recordops.sources.writers import written_parts
+
+    df = spark.range(90).select(F.col("id").alias("a"), F.concat(F.lit("p/"), F.col("id") % 3).alias("part"), F.lit(None).cast("string").alias("z"))
+    stored = written_parts(df, ["part"], "thirds")
+    assert stored.dtypes == df.dtypes
+    one = stored.filter("part = 'p/1'")
+    assert sorted(r["a"] for r in one.collect()) == list(range(1, 90, 3))
+    assert "PartitionFilters: [isnotnull(part" in final_plan(one)
+    assert written_parts(df.limit(0), ["part"], "none").count() == 0
+
+
+def test_checkpoint_dir_wants_a_shared_folder():
+    from types import SimpleNamespace
+
+    from recordops.session import checkpoint_dir
+
+    bare = SimpleNamespace(
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None),
+        conf=SimpleNamespace(get=lambda name, default=None: default),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(bare)
