@@ -7,7 +7,8 @@ blocks decode alone, so a reader fetches any of them. Spark's writer commits the
 files, so a lost executor costs its running tasks only.
 
 Null and empty texts hold only the end id. Rows of equal document ids stay apart,
-in order of their texts; a null document id comes first. The tokenizer is told to
+in order of the first bytes of their texts, then of a digest; equal rows are dealt to
+several ranges, so no id has to fit one task. A null document id comes first. The tokenizer is told to
 take the strings of special tokens as ordinary text.
 """
 
@@ -25,13 +26,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordops.llm import mixing_coder
-from recordops.llm.base import bounded, slices
+from recordops.llm.base import LOWER, NOT_BLANK, bounded, slices
 from recordops.session import scratch_dir
 
 BLOCK_IDS = 1 << 20  # a block is closed once it holds so many; a document is never cut
+HEAD = 64  # first bytes of a text that order rows of one id
+SLICE = 1 << 23  # bytes of text tokenised together
 CACHED = 700_000  # words in each of two generations of the cache
-#: Small letters of ASCII and all letters of Latin-1 beyond it, in UTF-8, then marks.
-LETTERS_MARKS = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
+#: Small letters of ASCII and all letters of Latin-1 beyond it, in UTF-8.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Second bytes of Latin-1 capitals to those of their small letters.
+SMALL_LATIN = bytes(b + 0x20 if 0x80 <= b <= 0x9E and b != 0x97 else b for b in range(256))
+BLANK, LETTER, MARK, OTHER = range(4)
+#: What a byte is in lower-cased text; those of Latin-1 letters are found by their neighbours.
+KIND = np.full(256, OTHER, np.uint8)
+KIND[~NOT_BLANK] = BLANK
+KIND[ord("a") : ord("z") + 1] = LETTER
+KIND[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = MARK
+#: What the step from one kind to the next tells: a word begins, ends, is cut before marks, or is not plain.
+BEGINS, ENDS, CUTS, ODD = 1, 2, 4, 8
+STEP = np.zeros(16, np.uint8)
+STEP[[LETTER, MARK, OTHER]] |= BEGINS
+STEP[[LETTER << 2, MARK << 2, OTHER << 2]] |= ENDS
+STEP[LETTER << 2 | MARK] |= CUTS
+STEP[[OTHER, LETTER << 2 | OTHER, MARK << 2 | OTHER, OTHER << 2 | OTHER, MARK << 2 | LETTER, MARK]] |= ODD
+LATIN = np.zeros(256, bool)
+LATIN[0x80:0xC0] = True
+LATIN[[0x97, 0xB7]] = False
 
 
 @lru_cache(2)
@@ -55,46 +76,86 @@ class Words(dict):
     """Ids of words as little-endian 16-bit integers, in two generations, so that memory stays bounded.
 
     A word of plain letters goes straight to the tokenizer's model, as normalising
-    only makes it small and splitting leaves it whole; marks after it are a piece of
-    their own. All other words take the tokenizer's whole way.
+    only makes it small and splitting leaves it whole. All other words, and the marks
+    after plain ones, which are a piece of their own, take the tokenizer's whole way.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.tokenizer, self.tokenize, self.old = tokenizer, tokenizer.model.tokenize, {}
         self.letters = byte_letters()
+        self.packed = [struct.pack("<H", i) for i in range(1 << 16)]
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            found = LETTERS_MARKS.fullmatch(word)
-            if found is None:
-                ids = self.whole(word)
-            elif found[2]:
-                ids = self[found[1]] + self[found[2]]
+            if word.isalpha():  # small letters of ASCII
+                ids = self.join(self.tokenize(word.decode("ascii")))
+            elif LETTERS.fullmatch(word):
+                ids = self.join(self.tokenize(word.translate(SMALL_LATIN).decode("latin-1").translate(self.letters)))
             else:
-                small = word if word.isascii() else word.decode().lower().encode()
-                pieces = self.model.tokenize(small.decode("latin-1").translate(self.letters))
-                ids = struct.pack(f"<{len(pieces)}H", *[p.id for p in pieces])
+                ids = self.whole(word)
         if len(self) >= CACHED:
             self.old = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
+    def join(self, pieces) -> bytes:
+        packed = self.packed
+        return b"".join([packed[p.id] for p in pieces])
+
     def whole(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
 
 
-def encode_words(texts: list[bytes], path: str) -> list[bytes]:
-    """Ids of each text as little-endian 16-bit integers.
+def pieces_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of lower-cased bytes that begin and end with a blank, and the kinds of bytes.
+
+    A word of letters and marks after them is two pieces; every other word is one.
+    """
+    kind = KIND[data]
+    lead = np.flatnonzero(data == 0xC3)
+    lead = lead[LATIN[data[lead + 1]]]
+    kind[lead] = LETTER
+    kind[lead + 1] = LETTER
+    step = STEP[(kind[:-1] << 2) | kind[1:]]
+    starts, ends = (np.flatnonzero(step & which) + 1 for which in (BEGINS, ENDS))
+    odd = np.searchsorted(starts, np.flatnonzero(step & ODD) + 1, side="right") - 1
+    plain = np.ones(len(starts), bool)
+    plain[odd] = False
+    cuts = np.flatnonzero(step & CUTS) + 1
+    cuts = cuts[plain[np.searchsorted(starts, cuts, side="right") - 1]]
+    starts, ends = (np.sort(np.concatenate([x, cuts]), kind="stable") for x in (starts, ends))
+    return starts, ends, kind
+
+
+def encode_words(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after the other, and the place of each text's first one.
 
     White space is never part of a token of this tokenizer and always ends one, so
     a text's ids are those of its words one after the other; capitals are made small by
-    the tokenizer itself. Each distinct word is given to it once while the cache holds it.
+    the tokenizer itself. Of each slice the distinct pieces are looked up once, and the
+    tokenizer sees a piece once while the cache holds it.
     """
-    ids_of = tokenizer(path)[1].__getitem__
-    return [b"".join(map(ids_of, x.lower().split())) for x in texts]
+    data = LOWER[np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)]
+    rows = np.cumsum([0, *(len(x) + 1 for x in texts)]) + 1
+    starts, ends, kind = pieces_of(data)
+    places = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    kept = data[kind != BLANK]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(kept)])
+    words = words.dictionary_encode()
+    distinct, at = words.dictionary, np.asarray(words.indices, dtype=np.int64)
+    edges = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset :][: len(distinct) + 1].tolist()
+    blob = distinct.buffers()[2].to_pybytes() if len(distinct) else b""
+    known = tokenizer(path)[1].__getitem__
+    found = [known(blob[a:b]) for a, b in zip(edges, edges[1:])]
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 1
+    size = sizes[at]
+    upto = np.concatenate([[0], np.cumsum(size)])
+    first = (np.cumsum(sizes) - sizes)[at] - upto[:-1]
+    ids = np.frombuffer(b"".join(found), "<u2")[np.repeat(first, size) + np.arange(upto[-1])]
+    return ids, upto[np.searchsorted(starts, rows)]
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text", shards: int | None = None) -> None:
@@ -119,12 +180,13 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_column: str =
         fields = None
         for batch in batches:
             fields = fields or pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("names", pa.list_(batch.column(0).type)), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary())])
-            for a, b in slices(batch.column(1)):
-                texts = [x or b"" for x in batch.column(1)[a:b].to_pylist()]
-                for name, ids in zip(batch.column(0)[a:b].to_pylist(), encode_words(texts, path)):
+            for a, b in slices(batch.column(1), SLICE):
+                ids, edges = encode_words([x or b"" for x in batch.column(1)[a:b].to_pylist()], path)
+                edges = edges.tolist()
+                for name, lo, hi in zip(batch.column(0)[a:b].to_pylist(), edges, edges[1:]):
                     names.append(name)
-                    parts.append(ids + end)
-                    held += len(ids) // 2 + 1
+                    parts.append(ids[lo:hi].tobytes() + end)
+                    held += hi - lo + 1
                     if held >= BLOCK_IDS:
                         yield close()
                         names, parts, held, block = [], [], 0, block + 1
@@ -132,7 +194,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_column: str =
             yield close()
 
     named = bounded(docs).select(F.col(id_column).alias("name"), F.col(text_column).cast("binary").alias("text"))
-    ordered = named.repartitionByRange(n, F.col("name").asc_nulls_first()).sortWithinPartitions(F.col("name").asc_nulls_first(), "text")
+    named = named.withColumns({"head": F.substring("text", 1, HEAD), "digest": F.xxhash64("text"), "salt": F.monotonically_increasing_id()})
+    order = [F.col("name").asc_nulls_first(), "head", "digest", "salt"]
+    ordered = named.repartitionByRange(n, *order).sortWithinPartitions(*order).select("name", "text")
     ordered.mapInArrow(run, f"shard int, block int, n_ids long, names array<{kind}>, sizes array<long>, ids binary").write.parquet(folder)
 
 

@@ -247,8 +247,28 @@ def test_words_of_any_letters_give_the_ids_of_the_text():
     odd = ["Σας ΣΑΣ İstanbul ﬁ ſt éa Straßë ẞ?", "it's don't 'tis ab'' x...y", "×÷ æ×æ Œuvre naïve,— a b c\x85d \x1c e\x0bf"]
     odd += ["12ab ab12 <|endoftext|> </w> a</w> #@! Ĳ Ñandú. «Éa» µm ªº", "Å", "ÅNGSTRÖM, ÅÅ!! A\u030a e\u0301a \u0301x", "", " \t\n"]
     whole = token_files.tokenizer(WORDS)[0]
-    for text, ids in zip(odd, token_files.encode_words([x.encode() for x in odd], WORDS)):
-        assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+    odd += ["a--b ...c -d e-f- --", "3.14, 2nd!", "«x» ÀÉ× ÷ß”. x×y", "a\x00b ñ.", "don't!? (yes).", "éé,é é.. .é", "ab\u3000c é\u2028.", "À", "zÃ©Ã"]
+    ids, edges = token_files.encode_words([x.encode() for x in odd], WORDS)
+    for text, a, b in zip(odd, edges, edges[1:]):
+        assert ids[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert token_files.encode_words([], WORDS)[1].tolist() == [0]
+
+
+def test_token_files_of_a_hot_id(spark, tmp_path):
+    """A third of the rows has no id: they are dealt to several files, equal ones too, and no id is lost."""
+    rows = [(None if i % 3 == 0 else i, "same text" if i % 2 else f"text number {i} of many", "x") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string").repartition(6)
+    token_files.write(docs, str(tmp_path / "ids"), WORDS, 1, shards=8)
+    files = spark.read.parquet(str(tmp_path / "ids"))
+    hot = files.select("shard", F.explode("names").alias("name")).filter("name is null").groupBy("shard").count().collect()
+    assert len(hot) >= 2 and max(r["count"] for r in hot) < 700
+    whole = token_files.tokenizer(WORDS)[0]
+    got = token_files.read(files, keep_ids=True).collect()
+    want = [(str(i), tuple(whole.encode(t, add_special_tokens=False).ids + [1])) for i, t, _ in rows]
+    assert sorted(want) == sorted((str(r["doc_id"]), tuple(np.frombuffer(r["ids"], "<u4").tolist())) for r in got)
+    starts = sorted((r["start"], r["n_tokens"], r["doc_id"] is not None, r["doc_id"] or 0) for r in got)
+    assert [s for s, *_ in starts] == [0, *np.cumsum([n for _, n, *_ in starts])[:-1].tolist()]
+    assert [r[2:] for r in starts] == sorted(r[2:] for r in starts)
 
 
 def test_token_files(docs, texts, no_docs):
