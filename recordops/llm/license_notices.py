@@ -13,6 +13,7 @@ words, no labels and the score 0. Rows are independent, so repeated rows repeat.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -70,29 +71,44 @@ def searcher(notices: tuple):
     return machine, fuzzy
 
 
+@lru_cache(1 << 16)
+def best_match(notices: tuple, i: int, window: bytes) -> tuple[int, int, int] | None:
+    """Edits, start and end of the best match of a notice in a window; texts share most of their notices, so finds are kept."""
+    at = window.find(notices[i][0].encode())
+    if at >= 0:
+        return 0, at, at + len(notices[i][0])
+    m = searcher(notices)[1][i].search(window)
+    return (sum(m.fuzzy_counts), m.start(), m.end()) if m else None
+
+
 def find_notices(text: bytes, notices: tuple = tuple(NOTICES)) -> list[tuple[int, int, int, int]]:
-    """Spans of notices in a lower-cased text: start, end, notice, edits; of overlapping finds of a notice the best.
+    """Spans of notices in a lower-cased text: start, end, notice, edits.
 
-    Seeds of one notice whose windows overlap are searched as one window.
+    Each seed has a window as long as its notice and the allowed edits on both sides,
+    and the best match in it is a find; equal windows are searched once, so the work
+    grows with the number of seeds. Of finds of a notice that overlap, the one with
+    fewest edits stays, then the first, then the shortest.
     """
-    machine, fuzzy = searcher(notices)
-    windows: dict[int, list[list[int]]] = {}
+    machine, _ = searcher(notices)
+    windows: dict[int, set[tuple[int, int]]] = {}
     for end, (length, uses) in machine.iter(text.decode("latin-1")):
         start = end + 1 - length
         for i, place in uses:
             notice, edits, _ = notices[i]
-            a, b = max(0, start - place - edits), start - place + len(notice) + edits
-            mine = windows.setdefault(i, [])
-            if mine and a <= mine[-1][1]:
-                mine[-1][1] = max(b, mine[-1][1])
-                mine[-1][2] += 1
-            else:
-                mine.append([a, b, 1])
+            a = start - place - edits
+            windows.setdefault(i, set()).add((max(0, a), min(len(text), a + len(notice) + 2 * edits)))
     found = []
     for i, mine in windows.items():
-        for a, b, _ in mine:
-            for m in fuzzy[i].finditer(text, a, min(b, len(text))):
-                found.append((m.start(), m.end(), i, sum(m.fuzzy_counts)))
+        finds = set()
+        for a, b in mine:
+            if best := best_match(notices, i, text[a:b]):
+                finds.add((best[0], a + best[1], a + best[2]))
+        kept: list[tuple[int, int]] = []
+        for edits, start, end in sorted(finds):
+            at = bisect_left(kept, (start, end))
+            if (at == len(kept) or kept[at][0] >= end) and (at == 0 or kept[at - 1][1] <= start):
+                kept.insert(at, (start, end))
+                found.append((start, end, i, edits))
     return sorted(found)
 
 

@@ -147,8 +147,13 @@ def train(model: Model, rows: list[tuple[float, np.ndarray, np.ndarray]], rounds
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> Model:
-    """The labellers' accuracies from all rows, the scorer from a sample of about `sample` rows at most."""
-    rows = bounded(docs).select(F.col(id_column).cast("string").alias("id"), F.col(text_column).cast("binary").alias("text"))
+    """The labellers' accuracies from all rows, the scorer from a sample of `sample` rows at most.
+
+    Rows are drawn by a digest of id and text, so the sample does not depend on how rows are
+    dealt out; rows of the same id and text are drawn once, rows without id like all others.
+    """
+    digest = F.xxhash64(F.coalesce(F.col(id_column).cast("string"), F.lit("-")), F.col(text_column).cast("binary"))
+    rows = bounded(docs).select(digest.alias("digest"), F.col(text_column).cast("binary").alias("text"))
 
     def vote(batches):
         for batch in batches:
@@ -159,24 +164,25 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
                 yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), pa.array(counts, pa.int64())], names=["pattern", "n"])
 
     counted = rows.select("text").mapInArrow(vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
-    found = [(r["pattern"], r["n"]) for r in counted.collect()]  # at most 3**8 rows
+    found = sorted((r["pattern"], r["n"]) for r in counted.collect())  # at most 3**8 rows
     patterns = (np.array([p for p, _ in found], np.int64)[:, None] // 3 ** np.arange(8)) % 3
     counts = np.array([c for _, c in found], np.float64)
     model = estimate(patterns.reshape(-1, 8), counts)
-    share = min(1.0, sample / max(counts.sum(), 1))
+    share = min(1.0, 1.25 * sample / max(counts.sum(), 1))
 
     def picked(batches):
         for batch in batches:
-            for a, b in slices(batch.column(0)):
-                data, offsets = flat_bytes(batch.column(0)[a:b])
+            for a, b in slices(batch.column(1)):
+                data, offsets = flat_bytes(batch.column(1)[a:b])
                 words, table, cell, count = measures(data, offsets)
                 edges = np.searchsorted(cell, np.arange(b - a + 1) * WIDTH)
                 seen = votes(words, table) @ 3 ** np.arange(8)
                 keep = [i for i in range(b - a) if words[i]]
-                yield pa.RecordBatch.from_arrays([pa.array(seen[keep], pa.int64()), pa.array([cell[edges[i] : edges[i + 1]] % WIDTH for i in keep], pa.list_(pa.int64())), pa.array([count[edges[i] : edges[i + 1]] for i in keep], pa.list_(pa.int64()))], names=["pattern", "at", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b].take(pa.array(keep, pa.int64())), pa.array(seen[keep], pa.int64()), pa.array([cell[edges[i] : edges[i + 1]] % WIDTH for i in keep], pa.list_(pa.int64())), pa.array([count[edges[i] : edges[i + 1]] for i in keep], pa.list_(pa.int64()))], names=["digest", "pattern", "at", "n"])
 
-    chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0)).select("text")
-    drawn = chosen.mapInArrow(picked, "pattern long, at array<long>, n array<long>").collect()  # `sample` rows of at most WIDTH counts
+    chosen = rows.filter(F.shiftrightunsigned("digest", 24) <= int(share * (1 << 40)))
+    chosen = chosen.mapInArrow(picked, "digest long, pattern long, at array<long>, n array<long>").dropDuplicates(["digest"])
+    drawn = chosen.orderBy("digest").limit(sample).collect()  # rows of at most WIDTH counts
     labels = model.posterior((np.array([r["pattern"] for r in drawn], np.int64)[:, None] // 3 ** np.arange(8)) % 3) if drawn else []
     train(model, sorted(((float(y), np.array(r["at"], np.int64), np.array(r["n"], np.float64)) for y, r in zip(labels, drawn)), key=lambda r: (r[0], r[1].tolist(), r[2].tolist())))
     return model

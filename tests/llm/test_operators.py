@@ -111,6 +111,90 @@ def test_quality(spark, docs, no_docs):
     assert quality.score(no_docs, quality.fit(no_docs)).count() == 0
 
 
+def test_sample_is_bounded_and_fair(spark, monkeypatch):
+    """With a third of the rows without id, and many equal ones, at most `sample` different rows are drawn."""
+    rng = random.Random(3)
+    words = ["alpha", "beta", "gamma", "delta", "of", "the", "and"]
+    rows = [(None if i % 3 == 0 else i, " ".join(rng.choice(words) for _ in range(30))) for i in range(900)]
+    rows += [(None, "the same text again and again")] * 600
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda model, drawn: seen.append(drawn))
+    for parts in (3, 11):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        quality.fit(docs, sample=80)
+    first, second = seen
+    assert 40 <= len(first) <= 80
+    assert [(y, a.tolist(), n.tolist()) for y, a, n in first] == [(y, a.tolist(), n.tolist()) for y, a, n in second]
+
+
+def test_estimate_equals_plain_expectation_maximisation():
+    patterns = np.array(list(itertools.product(range(3), repeat=3)))
+    counts = np.random.default_rng(1).integers(0, 40, len(patterns)).astype(float)
+    model = quality.estimate(patterns, counts, rounds=7)
+    good = [{0: 0.98, 1: 0.3}.get(sum(v == quality.BAD for v in p), 0.02) for p in patterns.tolist()]
+    for _ in range(7):
+        mass = sum(c * g for c, g in zip(counts, good))
+        prior = min(max(mass / counts.sum(), 1e-3), 1 - 1e-3)
+        chance = {}
+        for m in range(3):
+            for side in (0, 1):
+                weight = {v: 0.5 + sum(c * (g if side else 1 - g) for p, c, g in zip(patterns.tolist(), counts, good) if p[m] == v) for v in range(3)}
+                chance |= {(m, side, v): w / sum(weight.values()) for v, w in weight.items()}
+        good = []
+        for p in patterns.tolist():
+            bad_side, good_side = ((1 - prior, prior)[side] * np.prod([chance[m, side, v] for m, v in enumerate(p)]) for side in (0, 1))
+            good.append(good_side / (good_side + bad_side))
+    assert model.prior == pytest.approx(prior)
+    assert model.posterior(patterns) == pytest.approx(good)
+
+
+def distances(text, notice):
+    """Fewest edits of the notice to any part of the text that ends at each place."""
+    row = np.arange(len(notice) + 1)
+    out = [int(row[-1])]
+    for c in text:
+        new = np.empty_like(row)
+        new[0] = 0
+        for j, d in enumerate(notice, 1):
+            new[j] = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d))
+        row = new
+        out.append(int(row[-1]))
+    return out
+
+
+def test_notices_equal_a_search_of_all_places():
+    rng = random.Random(9)
+    notices = (("released under the mit license", 3, "mit"), ("all rights reserved", 2, "reserved"), ("mozilla public license", 2, "mpl"))
+    for _ in range(60):
+        text = ""
+        while len(text) < 300:
+            piece = list(rng.choice(notices)[0] if rng.random() < 0.6 else "lorem ipsum dolor sit")
+            for _ in range(rng.randint(0, 5)):
+                at = rng.randrange(len(piece))
+                piece[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "e", " "])
+            text += "".join(piece) + rng.choice(["", " ", " " * 9])
+        found = license_notices.find_notices(text.encode(), notices)
+        for i, (notice, edits, _) in enumerate(notices):
+            mine = [(s, e, k) for s, e, j, k in found if j == i]
+            ends = distances(text, notice)
+            assert min((k for *_, k in mine), default=9) == (min(ends) if min(ends) <= edits else 9)
+            for s, e, k in mine:
+                assert distances(text[s:e], notice)[-1] <= k <= edits
+            assert all(a[1] <= b[0] for a, b in zip(mine, mine[1:]))
+            for at in [p for p, d in enumerate(ends) if d <= edits]:  # every place is under a find or beside a better one
+                assert any(s < at + len(notice) and e > at - len(notice) - edits for s, e, _ in mine)
+
+
+def test_repeated_notices_take_time_in_proportion():
+    import time
+
+    for line in (b"released under the mot licence ", b"all rihts reserved all rights reserve "):
+        start = time.perf_counter()
+        found = license_notices.find_notices(line * (1_000_000 // len(line)))
+        assert time.perf_counter() - start < 10
+        assert len(found) >= 1_000_000 // len(line)
+
+
 def test_suffix_order_is_exact():
     rng = np.random.default_rng(1)
     for n, k in itertools.product((1, 2, 3, 4, 5, 8, 40, 200), (1, 2, 5)):
