@@ -15,6 +15,8 @@ do vectors of another length than the most frequent one (of equally frequent, th
 Rows of equal id are separate entries, a null id takes no part. The
 number of probes is the smallest that finds a share `WANTED` of the nearest among a sample
 of about `SAMPLE` entries at most, in proportion to its size; all entries are indexed.
+Every answer is complete: a query with fewer than `nearest` rows (or all candidates) after
+the probes is searched exactly over all entries, block by block.
 `recall` measures results against brute force.
 """
 
@@ -128,6 +130,20 @@ def search(rows: DataFrame, queries, nearest: int = 20, id_column: str = "vec_id
                         who = np.repeat(mine, near.shape[1] * blocks)
                         yield rows_of(ids, data, who, t, np.repeat(near.ravel(), blocks), np.tile(np.arange(blocks), near.size), True)
 
+    def everywhere(batches):
+        """Entries and queries of an exact search: each entry in one block, each query in all."""
+        for batch in batches:
+            v = np.array(batch.column(1).values, dtype=np.float64).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1))
+            for lo in range(0, batch.num_rows, 512):
+                ids, n = batch.column(0)[lo : lo + 512], min(512, batch.num_rows - lo)
+                data = pa.array([r.tobytes() for r in v[lo : lo + 512]], pa.binary())
+                mine = np.flatnonzero(np.asarray(batch.column(2)[lo : lo + 512].to_numpy(zero_copy_only=False), bool))
+                every = np.arange(n)
+                yield rows_of(ids, data, every, 0, 0 * every, np.arange(lo, lo + n) % blocks, False)
+                if len(mine):
+                    who = np.repeat(mine, blocks)
+                    yield rows_of(ids, data, who, 0, 0 * who, np.tile(np.arange(blocks), len(mine)), True)
+
     def rows_of(ids, data, who, t, code, block, query):
         take = pa.array(who)
         n = len(who)
@@ -167,27 +183,45 @@ def search(rows: DataFrame, queries, nearest: int = 20, id_column: str = "vec_id
             yield answer()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = entries.select("entry", "v", "asked").mapInArrow(hashed, f"tree int, code int, block int, query boolean, entry {kind}, x binary")
-    dealt = dealt.repartition(n, "tree", "code", "block").sortWithinPartitions("tree", "code", "block", "query")
-    near = dealt.mapInArrow(ranked, f"query {kind}, entry {kind}, near double").groupBy("query", "entry").agg(F.max("near").alias("near"))
-    best = near.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("near"), "entry"))).filter(F.col("place") <= nearest + 1 + SPARE)
-    # exact scores on the original vectors, components added in order
-    sides = [entries.select(F.col("entry").alias(c), F.col("v").alias(f"{c}_v")) for c in ("query", "entry")]
-    terms = F.zip_with("query_v", "entry_v", lambda a, b: a * b)
-    scored = best.select("query", "entry").join(sides[0], "query").join(sides[1], "entry").select("query", "entry", F.aggregate(terms, F.lit(0.0), lambda a, x: a + x).alias("score"))
-    listed = scored.join(entries.select("entry", "members"), "entry").select("query", "score", F.explode("members").alias("id"))
-    top = listed.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("place") <= nearest + 1).drop("place")
-    asking = rows.filter(queries).join(entries.filter("asked").select("v", F.col("entry").alias("query")), "v").select(F.col("id").alias("query_id"), "query")
-    own = top.join(asking, "query").filter("id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return own.withColumn("rank", rank).filter(F.col("rank") <= nearest).select("query_id", F.col("rank").cast("int"), F.col("id").alias(id_column), "score")
 
+    def answers(given, deal):
+        """The `nearest` of each asked entry of `given` (entry, v, asked) that `deal` brings together, for its query ids."""
+        dealt = given.mapInArrow(deal, f"tree int, code int, block int, query boolean, entry {kind}, x binary")
+        dealt = dealt.repartition(n, "tree", "code", "block").sortWithinPartitions("tree", "code", "block", "query")
+        near = dealt.mapInArrow(ranked, f"query {kind}, entry {kind}, near double").groupBy("query", "entry").agg(F.max("near").alias("near"))
+        best = near.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("near"), "entry"))).filter(F.col("place") <= nearest + 1 + SPARE)
+        # exact scores on the original vectors, components added in order
+        sides = [entries.select(F.col("entry").alias(c), F.col("v").alias(f"{c}_v")) for c in ("query", "entry")]
+        terms = F.zip_with("query_v", "entry_v", lambda a, b: a * b)
+        scored = best.select("query", "entry").join(sides[0], "query").join(sides[1], "entry").select("query", "entry", F.aggregate(terms, F.lit(0.0), lambda a, x: a + x).alias("score"))
+        listed = scored.join(entries.select("entry", "members"), "entry").select("query", "score", F.explode("members").alias("id"))
+        top = listed.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("place") <= nearest + 1).drop("place")
+        own = top.join(asking, "query").filter("id <> query_id")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+        return own.withColumn("rank", rank).filter(F.col("rank") <= nearest).select("query", "query_id", F.col("rank").cast("int"), "id", "score")
 
-def recall(found: list[tuple], vectors: dict, nearest: int = 20) -> float:
-    """Share of the true nearest that are among (query, rank, id, score) rows; for samples."""
+    asking = rows.filter(queries).join(entries.filter("asked").select("v", F.col("entry").alias("query")), "v").select(F.col("id").alias("query_id"), "query")
+    asking = settle(asking, "queries")
+    found = settle(answers(entries.select("entry", "v", "asked"), hashed), "nearest")
+    # Queries whose buckets held too few are searched once more, over all entries in blocks.
+    full = min(nearest, max(int(bounds["n"]) - 1, 0))
+    got = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= full)
+    short = settle(asking.join(got, "query_id", "left_anti").select("query").distinct(), "short")
+    if full and not short.isEmpty():
+        again = entries.join(short.withColumn("wanting", F.lit(True)), entries["entry"] == short["query"], "left")
+        again = answers(again.select("entry", "v", F.coalesce("wanting", F.lit(False)).alias("asked")), everywhere)
+        found = found.join(short, "query", "left_anti").unionByName(again)
+    return found.select("query_id", "rank", F.col("id").alias(id_column), "score")
+
+
+def recall(found: list[tuple], vectors: dict, nearest: int = 20, queries: list | None = None) -> float:
+    """Share of the true nearest that are among (query, rank, id, score) rows; for samples.
+
+    Queries without any row count as having found nothing, if `queries` names them all.
+    """
     ids = np.array(sorted(vectors))
     matrix = np.array([vectors[i] for i in ids.tolist()], np.float64)
-    got: dict = {}
+    got: dict = {q: set() for q in queries or []}
     for q, _, i, _ in found:
         got.setdefault(q, set()).add(i)
     hit = total = 0

@@ -74,6 +74,24 @@ def test_nearest_neighbours(spark):
     assert cross_polytope.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_answers_are_complete(spark):
+    """Few vectors, and outliers beside one tight cluster: each query has 20 rows, or all candidates."""
+    rng = np.random.default_rng(8)
+    schema = "vec_id long, embedding array<float>, entry long, query long, v string"
+    table = lambda vectors: spark.createDataFrame([(i, v.tolist(), 1, 1, "x") for i, v in vectors.items()], schema)
+    few = {i: rng.standard_normal(8).astype(np.float32) for i in range(21)}
+    centre = rng.standard_normal(32) * 3
+    near = {i: (centre + 0.01 * rng.standard_normal(32)).astype(np.float32) for i in range(1000)}
+    near |= {i: rng.standard_normal(32).astype(np.float32) for i in range(0, 1000, 100)}
+    for vectors in (few, near, {0: few[0]}, {0: few[0], 1: few[1]}):
+        got = [tuple(r) for r in cross_polytope.search(table(vectors), F.col("id") % 20 == 0).collect()]
+        asked = [i for i in vectors if i % 20 == 0]
+        full = min(20, len(vectors) - 1)
+        assert sorted(r[:2] for r in got) == [(q, r) for q in asked for r in range(1, full + 1)]
+        assert cross_polytope.recall(got, vectors, queries=asked) >= (0.9 if full else 0)
+    assert cross_polytope.recall([], near, queries=[0, 20]) == 0
+
+
 def test_license_notices(docs, texts, no_docs):
     got = license_notices.scan(docs)
     want = []
