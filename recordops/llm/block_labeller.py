@@ -18,6 +18,7 @@ import html as entities
 import random
 import re
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +31,10 @@ from recordops.llm.base import LOWER, NOT_BLANK, bounded, flat_bytes, slices, wo
 PATH, LAST, WORD, PLAIN = 48, 24, 16, 8
 INPUT, HIDDEN = PATH + LAST + WORD + PLAIN, 16
 MAIN = "\ue000"  # begins the blocks of made-up pages that are main text
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+EDGE = re.compile("[>\"']")
+LONG_NUMBER = re.compile(r"&#[0-9]{4000,};?")  # beyond what a decimal number may hold, as of 1,114,112 on
+DEEP = 40  # innermost levels of a path that count
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 TOKEN = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input svg path".split())
@@ -41,21 +45,64 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
-def silent_ends(page: str) -> dict[int, int]:
+class Tags:
+    """The tags of a page from any place on, in time proportional to its length whatever is left open in it."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.closed = page.rfind(">")  # no tag ends behind it
+        self.dead: set[int] = set()  # quotes from which no end of a tag is reached
+
+    def next(self, place: int):
+        """Start, end, whether it closes, name and attributes of the next tag; comments and the like have no name."""
+        page = self.page
+        while (start := page.find("<", place)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, len(page) if end < 0 else end + 3, False, "", ""
+            if start > self.closed:
+                # Only a comment can still begin; nothing else ends any more.
+                place = page.find("<!--", start)
+                if place < 0:
+                    return None
+                continue
+            if page.startswith(("<!", "<?"), start):
+                return start, page.find(">", start) + 1, False, "", ""
+            if m := NAME.match(page, start + 1):
+                end = self.end_of(m.end())
+                return start, end, bool(m.group(1)), m.group(2).lower(), page[m.end() : end - 1]
+            place = start + 1
+        return None
+
+    def end_of(self, place: int) -> int:
+        """Behind the next `>` outside quotes, or if a quote stays open, behind the very next one."""
+        first, passed = place, []
+        while (m := EDGE.search(self.page, place)) and m.start() not in self.dead:
+            if m.group() == ">":
+                return m.end()
+            passed.append(m.start())
+            close = self.page.find(m.group(), m.end())
+            if close < 0:
+                break
+            place = close + 1
+        self.dead.update(passed)
+        return self.page.find(">", first) + 1
+
+
+def silent_ends(page: str, tags: Tags) -> dict[int, int]:
     """Where the elements without text end, by the start of their opening tags; unclosed ones have no entry."""
     found: dict[int, int] = {}
     opened: dict[str, list[int]] = {name: [] for name in SILENT}
     endless = False
     place = 0
-    while m := TAG.search(page, place):
-        start, place = m.span()
-        name = (m.group(2) or m.group(5) or "").lower()
+    while tag := tags.next(place):
+        start, place, closing, name, _ = tag
         if name not in SILENT:
             continue
-        if m.group(1) or m.group(4):
+        if closing:
             if opened[name]:
                 found[opened[name].pop()] = place
-        elif m.group().endswith("/>") and (name in ("svg", "math") or opened["svg"] or opened["math"]):
+        elif page.startswith("/>", place - 2) and (name in ("svg", "math") or opened["svg"] or opened["math"]):
             found[start] = place
         elif name not in RAW:
             opened[name].append(start)
@@ -71,6 +118,7 @@ def blocks(page: str) -> list[tuple[str, str, str, float]]:
     """Text blocks in page order: text, tag path, innermost tags, share of text in links."""
     out: list = []
     stack: list[tuple[str, str]] = []
+    levels: Counter[str] = Counter()  # of the stack by name
     text: list[str] = []
     linked = 0
     in_link = 0
@@ -79,11 +127,11 @@ def blocks(page: str) -> list[tuple[str, str, str, float]]:
     def flush():
         nonlocal linked
         if text:
-            joined = entities.unescape("".join(text))
+            joined = entities.unescape(LONG_NUMBER.sub("\ufffd", "".join(text)))
             words = joined.split()
             if words:
                 clean = " ".join(words)
-                path = " ".join(x for _, x in stack)
+                path = " ".join(x for _, x in stack[-DEEP:])
                 out.append((clean, path, " ".join(n for n, _ in stack[-2:]), min(1.0, linked / max(len(joined), 1))))
             text.clear()
         linked = 0
@@ -94,17 +142,15 @@ def blocks(page: str) -> list[tuple[str, str, str, float]]:
         if in_link:
             linked += len(piece)
 
-    ends = silent_ends(page)
-    while m := TAG.search(page, place):
-        start, end = m.span()
+    tags = Tags(page)
+    ends = silent_ends(page, tags)
+    while tag := tags.next(place):
+        start, end, closing, name, attributes = tag
         if start > place:
             add(page[place:start])
         place = end
-        name = m.group(2) or m.group(5)
         if not name:
             continue
-        name = name.lower()
-        closing = bool(m.group(1) or m.group(4))
         if name in SILENT and not closing:
             place = ends.get(start, end)
             continue
@@ -115,19 +161,21 @@ def blocks(page: str) -> list[tuple[str, str, str, float]]:
         if name in INLINE:
             continue
         flush()
-        in_link = in_link if name in INLINE else 0
+        in_link = 0
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
+            while levels[name]:
+                top = stack.pop()[0]
+                levels[top] -= 1
+                if top == name:
                     break
             continue
         if name in VOID:
             continue
         if stack and (stack[-1][0] in CLOSES.get(name, ()) or (stack[-1][0] == "p" and name in ENDS_PARAGRAPH)):
-            stack.pop()
-        found = " ".join(a or b or c for a, b, c in NAMES.findall(m.group(3) or m.group(6) or ""))
+            levels[stack.pop()[0]] -= 1
+        found = " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
         stack.append((name, name + " " + found.lower()))
+        levels[name] += 1
     if place < len(page):
         add(page[place:])
     flush()
@@ -289,6 +337,11 @@ def sample_page(rng: random.Random) -> str:
         name = rng.choice([name, name, f"{name}-{rng.choice(['box', 'wrap', 'list', 'main', 'inner', '1'])}", f"{rng.choice(['site', 'page', 'js'])}-{name}"])
         return f"<{tag} {rng.choice(['class', 'class', 'id'])}=\"{name}\">{body}</{tag}>"
 
+    def wrapped(tag: str, body: str) -> str:
+        """Without a name, or with one that tells nothing."""
+        name = rng.choice(["", "", f' class="{rng.choice(lexicon)}"', f' id="{rng.choice(letters)}{rng.randint(1, 99)}"'])
+        return f"<{tag}{name}>{body}</{tag}>"
+
     def links(n: int) -> str:
         items = [f'<a href="/{rng.choice(lexicon)}">{prose(1, 3)}</a>' for _ in range(n)]
         return rng.choice(["<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>", " ".join(items), "<ol><li>" + "<li>".join(items) + "</ol>"])
@@ -302,6 +355,8 @@ def sample_page(rng: random.Random) -> str:
             return f"<header>{body}</header>" if rng.random() < 0.6 else named("div", kind, body, 0)
         if kind == "foot":
             body = rng.choice(["&copy; ", "", cue + " "]) + rng.choice([prose(1, 25), links(3), f"<p>{prose(2, 20)}</p>"])
+            if rng.random() < 0.15:  # under a line
+                return f"<hr>{rng.choice(['Copyright', '&copy;', 'Contact:', 'Imprint'])} {prose(1, 8)}"
             return f"<footer>{body}</footer>" if rng.random() < 0.7 else named("div", kind, body, 0)
         if kind == "side":
             body = rng.choice([f"<h3>{cue or prose(1, 3)}</h3>{links(rng.randint(2, 6))}", f"<p>{prose(4, 30)}</p>", f"<div>{cue} {prose(2, 20)}</div>"])
@@ -309,6 +364,10 @@ def sample_page(rng: random.Random) -> str:
         if kind == "comment":
             one = lambda: rng.choice([f"<p>{prose(3, 40)}</p>", f'<div class="comment"><b>{prose(1, 2)}</b> {prose(3, 40)}</div>', f"<li>{cue} {prose(3, 30)}</li>"])
             body = (f"<h3>{cue or 'Comments'}</h3>" if rng.random() < 0.5 else "") + "".join(one() for _ in range(rng.randint(1, 5)))
+            if rng.random() < 0.3:  # a list that only its words give away
+                heading = rng.choice(["Comments", "Replies", "Discussion", f"{rng.randint(2, 40)} comments", "Leave a reply"])
+                says = lambda: rng.choice([f"{prose(1, 2)} says: {prose(3, 30)}", f"<b>{prose(1, 1)}</b> {prose(3, 30)} <a href=\"#r\">Reply</a>", f"<p>{prose(3, 30)} Reply</p>"])
+                return f"<h3>{heading}</h3>" + wrapped(rng.choice(["ul", "ol", "div"]), "".join(f"<li>{says()}</li>" for _ in range(rng.randint(1, 5))))
             return named(rng.choice(["div", "section", "ol", "ul"]), kind, body, 0)
         if kind == "form":
             return f'<form action="/x"><label>{prose(1, 3)}</label> <input type="text"><button>{prose(1, 2)}</button>' + (f"<p>{prose(3, 15)}</p>" if rng.random() < 0.3 else "") + "</form>"
@@ -337,7 +396,14 @@ def sample_page(rng: random.Random) -> str:
     if rng.random() < 0.85:
         inner = f"<h1>{MAIN}{title}</h1>" + inner
     style = rng.random()
-    if style < 0.55:
+    layout = rng.random()
+    if layout < 0.16:  # text between breaks, straight in the body or in a wrapper that tells nothing
+        inner = (f"<h1>{MAIN}{title}</h1>" if rng.random() < 0.7 else "") + (cut := rng.choice(["<br><br>", "<br>", "<p>"])).join(f"{MAIN if k == 0 or cut == '<p>' else ''}{prose(8, 90)}" for k in range(rng.randint(1, 5)))
+        main = rng.choice([inner, inner, inner + "".join(part() for _ in range(rng.randint(0, 3))), wrapped("div", inner), wrapped("center", inner), f"<main>{wrapped('div', inner)}</main>", wrapped("td", inner)])
+    elif layout < 0.46:  # sections and divisions without names
+        main = "".join(wrapped(rng.choice(["section", "section", "div"]), x) for x in (inner, *("".join(part() for _ in range(rng.randint(1, 4))) for _ in range(rng.choice([0, 0, 1, 2])))))
+        main = rng.choice([f"<main>{main}</main>", f"<main>{main}</main>", main, wrapped("div", main), wrapped("div", wrapped("div", main))])
+    elif style < 0.6:
         main = f"<article>{inner}</article>"
     elif style < 0.7:
         main = f"<main>{inner}</main>"
@@ -348,11 +414,18 @@ def sample_page(rng: random.Random) -> str:
     before = "".join(extra(k) for k in ("notice", "head", "menu", "ad", "side", "form") if rng.random() < 0.4)
     after = "".join(extra(k) for k in ("ad", "comment", "side", "form", "notice", "menu") if rng.random() < 0.3)
     after += extra("foot") if rng.random() < 0.8 else ""
+    if rng.random() < 0.08:  # nothing but the text
+        before = after = ""
+    if rng.random() < 0.1:  # columns of a table
+        menu = rng.choice([links(rng.randint(2, 8)), f"<b>{prose(1, 2)}</b><br>" + "<br>".join(f'<a href="/{rng.choice(lexicon)}">{prose(1, 3)}</a>' for _ in range(rng.randint(2, 7)))])
+        beside = rng.choice(["", f"<b>{rng.choice(['Weather', 'Related', 'News', 'Tip'])}</b><br>{prose(2, 12)}", f"<p>{prose(2, 15)}</p>" + links(2)])
+        right = f"<td{rng.choice(['', ' width=120'])}>{beside}</td>" if beside else ""
+        main = f"<table><tr><td{rng.choice(['', ' width=150'])}>{menu}</td><td>{main}</td>{right}</tr></table>"
     return f"<html><head><title>{title}</title><style>p{{}}</style></head><body>{before}{main}{after}</body></html>"
 
 
 @lru_cache(1)
-def trained(rounds: int = 500, pages: int = 24) -> Labeller:
+def trained(rounds: int = 800, pages: int = 24) -> Labeller:
     """The model, trained with Adam on made-up pages; the same each time."""
     rng, model = random.Random(2024), Labeller()
     mean = {k: np.zeros_like(v) for k, v in model.w.items()}
