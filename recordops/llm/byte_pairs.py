@@ -5,6 +5,9 @@ of the splitting automaton that either sets the start of the current run or keep
 it; composing such functions is associative, so one running maximum gives the
 state at every place at once. The boundaries follow from the state and from the
 neighbouring classes. The slices between them go through a cache of merged pieces.
+The place of each token's bytes in the text is kept beside the ids; decoding puts the
+bytes of every token at its place, all at once, and any part of a text can be decoded
+from the tokens that overlap it.
 
 Null and empty texts give no ids. Bytes that are not UTF-8 count as U+FFFD.
 Equal rows give equal results; rows are independent of one another.
@@ -151,17 +154,19 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(2)
-def codec(path: str) -> tuple[Pieces, list[bytes]]:
+def codec(path: str) -> tuple[Pieces, np.ndarray, np.ndarray, np.ndarray]:
+    """The cache of merged pieces; the bytes of all tokens one after the other, their places and lengths by id."""
     ranks = load_ranks(path)
     words = [b""] * (max(ranks.values()) + 1)
     for piece, i in ranks.items():
         words[i] = piece
-    return Pieces(ranks), words
+    sizes = np.array([len(w) for w in words], np.int32)
+    return Pieces(ranks), np.frombuffer(b"".join(words), np.uint8), (np.cumsum(sizes) - sizes).astype(np.int32), sizes
 
 
 def encode_texts(texts: list[str], path: str) -> Iterator[tuple[bytes, np.ndarray]]:
     """Ids of each text as little-endian 32-bit integers, and the code point offsets of its pieces."""
-    cache, _ = codec(path)
+    cache = codec(path)[0]
     joined = "\0".join(texts) + "\0"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(t) + 1 for t in texts]) - 1
@@ -176,18 +181,33 @@ def encode_texts(texts: list[str], path: str) -> Iterator[tuple[bytes, np.ndarra
         begin = end + 1
 
 
-def decode_ids(ids: bytes, path: str) -> bytes:
-    """The bytes that ids stand for."""
-    _, words = codec(path)
-    return b"".join(map(words.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+def token_offsets(ids: bytes, path: str) -> bytes:
+    """Where the bytes of each token begin, and where the last one ends, as little-endian 32-bit integers."""
+    sizes = codec(path)[3][np.frombuffer(ids, "<u4")]
+    return np.concatenate([[0], np.cumsum(sizes)]).astype("<u4").tobytes()
+
+
+def decode_ids(ids: bytes, offsets: bytes, path: str, first: int = 0, last: int | None = None) -> bytes:
+    """The bytes that ids stand for, or those from place `first` to before place `last`, read from the tokens there only."""
+    _, bytes_of, place, _ = codec(path)
+    starts = np.frombuffer(offsets, "<u4").astype(np.int64)
+    last = int(starts[-1]) if last is None else min(last, int(starts[-1]))
+    first = max(first, 0)
+    if first >= last:
+        return b""
+    lo, hi = np.searchsorted(starts, first, side="right") - 1, np.searchsorted(starts, last)
+    at = starts[lo : hi + 1]
+    source = np.repeat(place[np.frombuffer(ids, "<u4")[lo:hi]] - at[:-1], np.diff(at))
+    source += np.arange(at[0], at[-1])
+    return bytes_of[source].tobytes()[first - int(at[0]) : last - int(at[0])]
 
 
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = True) -> DataFrame:
-    """One row for each text: number of ids, their digest, the digest of the decoded bytes and, if wanted, the ids."""
+    """One row for each text: number of ids, their digest, the digest of the decoded bytes and, if wanted, ids and offsets."""
     fields = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    ids_field = [("ids", pa.binary())] if keep_ids else []
+    ids_field = [("ids", pa.binary()), ("offsets", pa.binary())] if keep_ids else []
     kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"{id_column} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
+    schema = f"{id_column} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, offsets binary" * keep_ids
 
     def run(batches):
         for batch in batches:
@@ -195,7 +215,8 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
             texts = batch.column(1)
             for a, b in slices(texts):
                 rows = [bytes(x.as_buffer()).decode("utf-8", "replace") if x.is_valid else "" for x in texts[a:b]]
-                out = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(decode_ids(i, path)).hexdigest(), i) for i, _ in encode_texts(rows, path)]
+                coded = [(i, token_offsets(i, path)) for i, _ in encode_texts(rows, path)]
+                out = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(decode_ids(i, o, path)).hexdigest(), i, o) for i, o in coded]
                 columns = [pa.array([r[k] for r in out], f[1]) for k, f in enumerate(fields + ids_field)]
                 yield pa.RecordBatch.from_arrays([names[a:b], *columns], names=[id_column, *(f[0] for f in fields + ids_field)])
 

@@ -386,6 +386,16 @@ def test_token_files(docs, texts, no_docs):
     assert token_files.round_trip(no_docs, WORDS, 1).count() == 0
 
 
+def test_parts_are_decoded_by_offsets(docs):
+    for row in byte_pairs.encode(docs, RANKS).join(docs.select("doc_id", "text"), "doc_id").collect():
+        whole, ids, offsets = (row["text"] or "").encode(), bytes(row["ids"]), bytes(row["offsets"])
+        places = np.frombuffer(offsets, "<u4")
+        assert len(places) == row["n_tokens"] + 1 and places[-1] == len(whole)
+        assert byte_pairs.decode_ids(ids, offsets, RANKS) == whole
+        for first, last in ((0, 5), (3, 17), (len(whole) // 2, len(whole) // 2 + 1), (len(whole) - 4, len(whole) + 9), (9, 9)):
+            assert byte_pairs.decode_ids(ids, offsets, RANKS, first, last) == whole[max(first, 0) : max(last, 0)]
+
+
 def test_byte_pairs(docs, texts, no_docs):
     import tiktoken
 
