@@ -205,3 +205,16 @@ LONGITUDE_FIXES_BY_LONGITUDE = {
     "-92.34611°": -92.34611,
     "-92.4453267,13.92": -92.4453267,
 }
+# Stages of the row-loss report, in order.
+LOSS_STAGES = [
+    "Base original",
+    "Numéricos válidos",
+    "Numéricos revisión",
+    "Texto válido",
+    "Texto revisión",
+    "Final válido",
+    "Final revisión",
+    "Perdidos",
+]
+# Module, facilities, records, percentage.
+PROFILE_SENTENCE = ("- ", ": ", " clues, ", " registros y ", "% de no derechohabiencia")

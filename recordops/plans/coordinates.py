@@ -157,16 +157,9 @@ def coordinate_audit(df: DataFrame, lat: str, lon: str, **options) -> dict[str,
     reviewed = {c: F.when(bad, F.col(c)) for c in ("origin", "lat_num", "lon_num")}
     cause = F.when(bad, F.col("cause")).otherwise(fixed.CAUSE_LOST)
     lost = read.filter(~valid).withColumns({**reviewed, "cause": cause}).drop("is_valid")
-    stages = {
-        "Base original": F.lit(True),
-        "Numéricos válidos": numeric & valid,
-        "Numéricos revisión": numeric & bad,
-        "Texto válido": ~numeric & valid,
-        "Texto revisión": ~numeric & bad,
-        "Final válido": valid,
-        "Final revisión": F.lit(False),
-        "Perdidos": ~valid,
-    }
+    conditions = [F.lit(True), numeric & valid, numeric & bad, ~numeric & valid, ~numeric & bad]
+    conditions += [valid, F.lit(False), ~valid]
+    stages = dict(zip(fixed.LOSS_STAGES, conditions, strict=True))
     return {
         "funnel": stage_counts(read, stages),
         "lost": lost,

@@ -73,13 +73,12 @@ def module_profile(modules: dict[str, Module], with_covered: bool = True) -> Dat
 
 def profile_sentences(profile: DataFrame) -> DataFrame:
     """The profile as one sentence per module (H9)."""
+    begin, after_module, after_facilities, after_records, end = map(F.lit, fixed.PROFILE_SENTENCE)
+    numbers = (F.col(c).cast("string") for c in ("facilities", "records", "percent_not_covered"))
+    facilities, records, percent = numbers
     text = F.concat(
-        F.lit("- "), F.col("module"),
-        F.lit(": "), F.col("facilities").cast("string"),
-        F.lit(" clues, "), F.col("records").cast("string"),
-        F.lit(" registros y "), F.col("percent_not_covered").cast("string"),
-        F.lit("% de no derechohabiencia"),
-    )
+        begin, "module", after_module, facilities, after_facilities, records, after_records, percent, end
+    )
     return profile.select("module", text.alias("text"))
 
 
