@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from recordops.llm.base import LOWER, bounded, byte_classes, flat_bytes, mix, settle, slices, word_spans
 
-SLICE = 1 << 21  # bytes of text looked at together
-FLUSH = 1 << 21  # different runs that a map task holds
-CLASS_MASS = 1 << 24  # runs in a class, about
+SLICE = 1 << 20  # bytes of text looked at together
+FLUSH = 1 << 20  # different runs that a map task holds
+CLASS_MASS = 1 << 22  # runs in a class, about
 ROW_KEYS = 1 << 12  # keys in one shuffled row
 MOST_BITS = 29  # of the filter of survivors
 KEY_BITS = 40
