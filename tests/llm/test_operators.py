@@ -74,6 +74,30 @@ def test_nearest_neighbours(spark):
     assert cross_polytope.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("chain", [1, 2, 3])
+def test_chained_polytopes_with_crowded_buckets(spark, monkeypatch, chain):
+    """Clusters, one with a third of the vectors, in buckets that are cut into many blocks."""
+    monkeypatch.setattr(cross_polytope, "BLOCK", 50)
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((30, 16))
+    vectors = {i: (centres[0 if i % 3 == 0 else i % 30] + 0.3 * rng.standard_normal(16)).astype(np.float32) for i in range(2400)}
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in cross_polytope.search(rows, F.col("id") % 20 == 0, chain=chain).collect()]
+    assert sorted(r[:2] for r in got) == [(q, r) for q in range(0, 2400, 20) for r in range(1, 21)]
+    assert cross_polytope.recall(got, vectors, queries=list(range(0, 2400, 20))) >= 0.9
+
+
+def test_chain_is_fitted_to_the_size():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((300, 16))[rng.integers(0, 300, 3000)] + 0.2 * rng.standard_normal((3000, 16))
+    near = [x[np.argsort(-(x @ q))[1:6]] for q in x[:40]]
+    longest = np.sqrt((x * x).sum(1)).max()
+    small, large = (cross_polytope.fit(x[:40], near, x[:1000], n, 8, longest, True, [1, 2]) for n in (3000, 10**9))
+    assert small[0] == 1 and large[0] == 2
+    lists = [cross_polytope.codes(x[:5], 3, 2, k) for k in (1, 10, 400)]  # probes of a shorter list lead a longer one
+    assert (lists[2][:, :10] == lists[1]).all() and (lists[1][:, :1] == lists[0]).all()
+
+
 def test_answers_are_complete(spark):
     """Few vectors, and outliers beside one tight cluster: each query has 20 rows, or all candidates."""
     rng = np.random.default_rng(8)
