@@ -7,10 +7,16 @@ more than the least depth of four values. An order is one range-sorted
 shuffle: a crowded prefix spreads over many tasks, and the rows at the edges of the ranges
 are compared in a second, small pass.
 
-A prefix that more rows share than an order compares is completed afterwards: all its rows
-of different components meet in salted blocks, pair of blocks by pair of blocks, and are
-compared on their full sets. The work there grows with the square of the rows that no link
-has joined; the rows of the largest component meet only the others.
+A prefix that more rows share than an order compares is completed afterwards on full sets.
+Where its rows outside the largest component fit one block, they meet one another and the
+rows of that component block by block, so a row costs at most a block. Rows of all larger
+crowds together, those of at most 2,048 shingles, go through a prefix-filtered set join instead: shingles are ordered
+by rarity among these rows, sets alike at the asked share have one of their rarest shingles
+in common, and only rows with such a shingle in common meet, each pair at its first one and
+only if its place leaves room for the overlap. Texts of one template share their frequent
+shingles, which are none of these. Longer sets would carry too many shingles: in a larger
+crowd they meet block by block, all of them, with the square of their number. Rows of one
+component are never compared.
 
 Rows with equal sets are one node beforehand, so copies are never compared. Candidates
 whose signatures agree in too few values to reach the similarity are left out; of the
@@ -39,6 +45,7 @@ from recordops.llm.components import components
 
 VALUES, ORDERS, DEPTH, NEAR = 64, 16, 4, 4
 ROWS, SHINGLES = 512, 250_000  # of a block, about
+LONG = 2048  # shingles of a set that meets others by block in any crowd
 _draw = np.random.default_rng(20240607)
 TURN = _draw.integers(0, 1 << 32, VALUES, dtype=np.uint32)
 FACTOR = _draw.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -203,28 +210,97 @@ def crowds(nodes: DataFrame, parts: DataFrame, texts: DataFrame, least: int, siz
     rows = nodes.join(parts, nodes["id"] == parts["node"], "left").select("id", "_key", "signature", "n_shingles", F.coalesce("component", "id").alias("part"))
     rows = settle(rows, "parts")
     step = 2 * VALUES // ORDERS
-    trees = rows.select("id", "_key", "n_shingles", "part", "signature", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
-    trees = trees.withColumn("prefix", F.expr(f"substring(signature, tree * {step} + 1, {2 * DEPTH})")).drop("signature")
-    full = trees.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
-    full = settle(full.filter((F.col("n") > NEAR + 1) & (F.col("low") < F.col("high"))).select("tree", "prefix"), "prefixes")
-    trees = settle(trees.drop("id").join(full, ["tree", "prefix"]), "crowded")
-    groups = trees.groupBy("tree", "prefix", "part").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
-    groups = groups.groupBy("tree", "prefix").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max(F.struct("n", "total", "part")).alias("most"))
-    blocks = lambda n, total: F.greatest(F.ceil(n / ROWS), F.ceil(total / SHINGLES)).cast("int")
-    others = blocks(F.col("n") - F.col("most.n"), F.col("total") - F.col("most.total"))
-    groups = settle(groups.select("tree", "prefix", F.col("most.part").alias("main"), others.alias("others"), blocks(F.col("most.n"), F.col("most.total")).alias("mains")), "crowds")
-    # rows of the largest component have blocks of their own, which do not meet one another
-    place = F.xxhash64("_key")
-    met = trees.drop("n_shingles").join(groups, ["tree", "prefix"])
-    met = met.withColumn("block", F.when(F.col("part") == F.col("main"), F.col("others") + F.pmod(place, "mains")).otherwise(F.pmod(place, "others")).cast("int"))
-    met = met.withColumn("last", F.when(F.col("part") == F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)
-    met = settle(met.select("_key", "tree", "prefix", "block", "last"), "met")
-    some = met.select("_key").distinct()
+    trees = rows.select("_key", "n_shingles", "part", "signature", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
+    trees = trees.select("tree", F.expr(f"substring(signature, tree * {step} + 1, {2 * DEPTH})").alias("prefix"), "_key", "n_shingles", "part", F.lit(None).cast("binary").alias("earlier"))
+    members, groups = mixed_groups(trees, NEAR + 2)
+    met = in_blocks(members, groups.filter("others <= 1"))
+    large = groups.filter("others > 1").select(*GROUP)
+    crossed = not large.isEmpty()
+    if crossed:
+        members = settle(members.join(large, GROUP, "left_semi"), "large")
+        # long texts meet in blocks; those that a long text may reach take both ways
+        met = met.unionByName(in_blocks(*mixed_groups(members.filter(F.col("n_shingles") * 100 > percent * LONG), 2)))
+        many = settle(members.filter(F.col("n_shingles") <= LONG).select("_key").distinct(), "many")
+    met = settle(met, "met")
+    some = met.select("_key").unionByName(many).distinct() if crossed else met.select("_key").distinct()
     full = texts.join(some, "_key", "left_semi").dropDuplicates(["_key"])
     full = settle(rows.join(full.mapInArrow(set_bytes(size, word), "_key binary, shingles binary"), "_key"), "sets")
+    if crossed:
+        many = full.join(many, "_key", "left_semi").select("_key", "n_shingles", "part", "shingles")
+        tokens = settle(leading_tokens(many, percent), "tokens")
+        met = met.unionByName(settle(in_blocks(*mixed_groups(tokens, 2)), "met"))
     pairs = met.join(full, "_key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    pairs = pairs.select("id", "part", "signature", "shingles", "tree", "prefix", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    return pairs.groupBy("tree", "prefix", "lo", "hi").applyInArrow(block_links(least, percent), f"a {kind}, b {kind}")
+    pairs = pairs.select(*GROUP, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "id", "part", "signature", "shingles", "block", "earlier")
+    by = [*GROUP, "lo", "hi"]
+    return pairs.repartition(*by).sortWithinPartitions(*by).mapInArrow(each_block(block_links(least, percent)), f"a {kind}, b {kind}")
+
+
+GROUP = ["tree", "prefix"]  # of an order of signatures, or TOKENS and a shingle
+TOKENS = ORDERS
+RARITY_BITS = 20
+
+
+def mixed_groups(members: DataFrame, fewest: int) -> tuple[DataFrame, DataFrame]:
+    """Members of the groups with at least `fewest` rows of several components; each group's largest component and blocks."""
+    full = members.groupBy(*GROUP).agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
+    full = settle(full.filter((F.col("n") >= fewest) & (F.col("low") < F.col("high"))).select(*GROUP), "mixed")
+    members = settle(members.join(full, GROUP), "members")
+    groups = members.groupBy(*GROUP, "part").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    groups = groups.groupBy(*GROUP).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max(F.struct("n", "total", "part")).alias("most"))
+    blocks = lambda n, total: F.greatest(F.ceil(n / ROWS), F.ceil(total / SHINGLES)).cast("int")
+    others = blocks(F.col("n") - F.col("most.n"), F.col("total") - F.col("most.total"))
+    groups = groups.select(*GROUP, F.col("most.part").alias("main"), others.alias("others"), blocks(F.col("most.n"), F.col("most.total")).alias("mains"))
+    return members, settle(groups, "groups")
+
+
+def in_blocks(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members with their block and the last block they meet; blocks of the largest component do not meet one another."""
+    place, main = F.xxhash64("_key"), F.col("part") == F.col("main")
+    met = members.join(groups, GROUP)
+    block = F.when(main, F.col("others") + F.pmod(place, "mains")).otherwise(F.pmod(place, "others")).cast("int")
+    last = F.when(main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    return met.select("_key", *GROUP, "earlier", block.alias("block"), last.alias("last"))
+
+
+def leading_tokens(rows: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of each set, so many that sets alike at `percent` share one, each with those before it.
+
+    Rarity is the number of sets with a shingle of the same leading bits, counted over `rows`
+    in a table of fixed size, then the shingle itself: one order for all sets.
+    """
+
+    def tally(batches):
+        heard = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            data, _ = flat_bytes(batch.column(0))
+            heard += np.bincount(data.view(np.uint64) >> np.uint64(64 - RARITY_BITS), minlength=len(heard))
+        at = np.flatnonzero(heard)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(heard[at])], names=["place", "n"])
+
+    counts = bounded(rows).select("shingles").mapInArrow(tally, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    heard = np.zeros(1 << RARITY_BITS, np.int64)
+    heard[np.asarray(counts["place"])] = np.asarray(counts["n"])
+    rarity = rows.sparkSession.sparkContext.broadcast(heard)
+
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch.column(3), 1 << 17):
+                part = batch.slice(a, b - a)
+                leads = [lead(np.frombuffer(s.as_buffer(), np.uint64)) for s in part.column(3)]
+                at = pa.array(np.repeat(np.arange(len(leads)), [len(x) for x in leads]))
+                tokens = [x.byteswap().tobytes() for x in leads]
+                prefix = [t[i : i + 8] for t in tokens for i in range(0, len(t), 8)]
+                earlier = [t[:i] for t in tokens for i in range(0, len(t), 8)]
+                columns = [pa.array([TOKENS] * len(at), pa.int32()), pa.array(prefix, pa.binary())]
+                columns += [part.column(i).take(at) for i in range(3)] + [pa.array(earlier, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["tree", "prefix", "_key", "n_shingles", "part", "earlier"])
+
+    def lead(s: np.ndarray) -> np.ndarray:
+        least = -(-percent * len(s) // 100)
+        return s[np.lexsort((s, rarity.value[s >> np.uint64(64 - RARITY_BITS)]))[: len(s) - least + 1]]
+
+    kind = rows.schema["part"].dataType.simpleString()
+    return rows.select("_key", "n_shingles", "part", "shingles").mapInArrow(run, f"tree int, prefix binary, _key binary, n_shingles long, part {kind}, earlier binary")
 
 
 def set_bytes(size: int, word: np.ndarray):
@@ -240,10 +316,36 @@ def set_bytes(size: int, word: np.ndarray):
     return run
 
 
+def each_block(links):
+    """Applies `links` to each run of rows of one group and pair of blocks; a run is bounded, a batch may hold many."""
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            same = np.ones(batch.num_rows, bool)
+            for column in batch.columns[:4]:
+                codes = np.asarray(column.dictionary_encode().indices)
+                same[1:] &= codes[1:] == codes[:-1]
+            if held:
+                same[0] = all(held[-1].column(c)[-1] == batch.column(c)[0] for c in range(4))
+            cuts = [0, *(np.flatnonzero(~same[1:]) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and (a or not same[0]):
+                    yield from links(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from links(pa.Table.from_batches(held))
+
+    return run
+
+
 def block_links(least: int, percent: int):
     """Links that join the components of two blocks of rows, or of one block, as far as full sets reach `percent`."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def links(table: pa.Table):
         ids = table["id"].combine_chunks()
         tree, lo, hi = (table[c][0].as_py() for c in ("tree", "lo", "hi"))
         grid = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(-1, VALUES)
@@ -251,39 +353,54 @@ def block_links(least: int, percent: int):
         block = np.asarray(table["block"])
         sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
         sizes = np.array([len(s) for s in sets])
-        agree = np.zeros((len(ids), len(ids)), np.uint8)
-        for values in grid.T:
-            agree += values[:, None] == values
-        # each pair in the first order in which it shares the prefix
-        todo = (agree >= least) & (root[:, None] != root) & (100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes))
+        todo = (root[:, None] != root) & (100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes))
         if lo != hi:
             todo &= block[:, None] != block
-        for t in range(tree):
+        # each pair in the first order, or at the first shingle, that it shares
+        if tree == TOKENS:
+            earlier = [np.frombuffer(e, np.uint64) for e in table["earlier"].to_pylist()]
+            left = sizes - [len(e) for e in earlier]
+            todo &= (100 + percent) * np.minimum(left[:, None], left) >= percent * (sizes[:, None] + sizes)
+            shared = np.concatenate(earlier)
+            order = np.argsort(shared, kind="stable")
+            owner = np.repeat(np.arange(len(ids)), [len(e) for e in earlier])[order]
+            for rows in np.split(owner, np.flatnonzero(np.diff(shared[order])) + 1):
+                if len(rows) > 1:
+                    todo[np.ix_(rows, rows)] = False
+        for t in range(tree if tree < TOKENS else 0):
             at = t * VALUES // ORDERS
-            lead = np.ascontiguousarray(grid[:, at : at + DEPTH]).view(np.uint64)[:, 0]
-            todo &= lead[:, None] != lead
+            first = np.ascontiguousarray(grid[:, at : at + DEPTH]).view(np.uint64)[:, 0]
+            todo &= first[:, None] != first
+        if not todo.any():
+            return
+        agree = np.zeros((len(ids), len(ids)), np.uint8)
+        for values in grid.T:
+            agree += values[:, None] == values
+        todo &= agree >= least
+        if not todo.any():
+            return
         found = []
-        if todo.any():
-            names, codes = np.unique(np.concatenate(sets), return_inverse=True)
-            codes = np.split(codes, np.cumsum(sizes)[:-1])
-            inside = np.zeros(len(names), bool)
-            # rows close to many others first: they may join all of them
-            for i in np.argsort(-agree.sum(1, dtype=np.int64), kind="stable"):
-                near = np.flatnonzero(todo[i] & (root != root[i]))
-                todo[:, i] = False
-                if len(near):
-                    inside[codes[i]] = True
-                    begins = np.cumsum(sizes[near]) - sizes[near]
-                    common = np.add.reduceat(inside[np.concatenate([codes[j] for j in near])], begins, dtype=np.int64)
-                    inside[codes[i]] = False
-                    for j in near[100 * common >= percent * (sizes[i] + sizes[near] - common)]:
-                        if root[j] != root[i]:
-                            root[root == root[j]] = root[i]
-                            found.append((i, j))
-        first, second = (pa.array([f[k] for f in found], pa.int64()) for k in (0, 1))
-        return pa.table({"a": ids.take(first), "b": ids.take(second)})
-
-    return run
+        names, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        codes = np.split(codes, np.cumsum(sizes)[:-1])
+        inside = np.zeros(len(names), bool)
+        # rows close to many others first: they may join all of them
+        for i in np.argsort(-agree.sum(1, dtype=np.int64), kind="stable"):
+            near = np.flatnonzero(todo[i] & (root != root[i]))
+            todo[:, i] = False
+            if len(near):
+                inside[codes[i]] = True
+                begins = np.cumsum(sizes[near]) - sizes[near]
+                common = np.add.reduceat(inside[np.concatenate([codes[j] for j in near])], begins, dtype=np.int64)
+                inside[codes[i]] = False
+                for j in near[100 * common >= percent * (sizes[i] + sizes[near] - common)]:
+                    if root[j] != root[i]:
+                        root[root == root[j]] = root[i]
+                        found.append((i, j))
+        if found:
+            first, second = (pa.array([f[k] for f in found], pa.int64()) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([ids.take(first), ids.take(second)], names=["a", "b"])
+
+    return links
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, word: np.ndarray = NOT_BLANK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -308,6 +308,52 @@ def test_pairs_among_texts_of_one_template(spark, monkeypatch, rows_of_block):
     assert parts == {i: i for i in range(600)} | {1000 + i: i * 20 for i in range(30)}
 
 
+@pytest.mark.parametrize("rows_of_block, long", [(20, 2048), (20, 100)])
+def test_template_with_words_from_a_short_list(spark, monkeypatch, rows_of_block, long):
+    monkeypatch.setattr(minhash_forest, "ROWS", rows_of_block)
+    monkeypatch.setattr(minhash_forest, "LONG", long)
+    rng = random.Random(9)
+    frame = [f"w{k}" for k in range(96)]
+    rows = []
+    for i in range(300):
+        words = list(frame)
+        for k in range(0, 96, 12):
+            words[k] = f"s{k}_{rng.randrange(4)}"
+        rows.append((i, " ".join(words + ["more"] * (i % 3) + [f"t{k}" for k in range(i % 5)])))
+    sets = [(i, set(zip(w, w[1:], w[2:]))) for i, t in rows for w in [t.split()]]
+    group = {i: i for i, _ in sets}
+    links = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if 100 * len(x & y) >= 85 * len(x | y)]
+    for _ in range(10):
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+    assert 20 < len(links) and 20 < len(set(group.values())) < 290
+    got = minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), size=3, percent=85)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == group
+
+
+def test_leading_shingles_and_runs_of_groups(spark):
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 1 << 62, 60, dtype=np.uint64) << np.uint64(2))
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in [1, 2, 20, 20, 21, 40, 50, 55]]
+    rows = [(bytes([i]), len(s), i, s.tobytes()) for i, s in enumerate(sets)]
+    found = minhash_forest.leading_tokens(spark.createDataFrame(rows, "_key binary, n_shingles long, part long, shingles binary"), 60).collect()
+    leads = {i: {bytes(r["prefix"]): bytes(r["earlier"]) for r in found if r["part"] == i} for i in range(len(sets))}
+    for (a, x), (b, y) in itertools.combinations(enumerate(sets), 2):
+        common = len(np.intersect1d(x, y))
+        if 100 * common >= 60 * (len(x) + len(y) - common):
+            assert leads[a].keys() & leads[b].keys()
+        both = leads[a].keys() & leads[b].keys()
+        firsts = [t for t in both if not any(leads[a][t][i : i + 8] in both for i in range(0, len(leads[a][t]), 8))]
+        assert len(firsts) == min(1, len(both))
+    assert [len(leads[i]) for i in range(8)] == [len(s) - -(-60 * len(s) // 100) + 1 for s in sets]
+    import pyarrow as pa
+
+    batch = lambda rows: pa.RecordBatch.from_pylist([dict(zip(["tree", "prefix", "lo", "hi", "row"], (0, b"%d" % g, 0, 0, r))) for g, r in rows], pa.schema([("tree", pa.int32()), ("prefix", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("row", pa.int64())]))
+    batches = [batch([(1, 0), (1, 1), (2, 2)]), batch([]), batch([(2, 3)]), batch([(3, 4), (4, 5)]), batch([(5, 6)])]
+    seen = minhash_forest.each_block(lambda table: [table["row"].to_pylist()])(iter(batches))
+    assert list(seen) == [[0, 1], [2, 3], [4], [5], [6]]
+
+
 def test_warc(spark):
     big = "<p>é</p>" * 40_000
     rows = [(5, "http://a", "<p>x</p>"), (3, "http://b c\n", "<p>x</p>"), (9, None, ""), (8, "u", None), (7, "v", big), (6, "w", big)]
