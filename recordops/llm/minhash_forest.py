@@ -211,7 +211,7 @@ def crowds(nodes: DataFrame, parts: DataFrame, texts: DataFrame, least: int, siz
     rows = settle(rows, "parts")
     step = 2 * VALUES // ORDERS
     trees = rows.select("_key", "n_shingles", "part", "signature", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
-    trees = trees.select("tree", F.expr(f"substring(signature, tree * {step} + 1, {2 * DEPTH})").alias("prefix"), "_key", "n_shingles", "part", F.lit(None).cast("binary").alias("earlier"))
+    trees = trees.select("tree", F.expr(f"substring(signature, tree * {step} + 1, {2 * DEPTH})").alias("prefix"), "_key", "n_shingles", "part", F.lit(0).alias("place"), F.lit(None).cast("binary").alias("earlier"))
     members, groups = mixed_groups(trees, NEAR + 2)
     met = in_blocks(members, groups.filter("others <= 1"))
     large = groups.filter("others > 1").select(*GROUP)
@@ -230,7 +230,7 @@ def crowds(nodes: DataFrame, parts: DataFrame, texts: DataFrame, least: int, siz
         tokens = settle(leading_tokens(many, percent), "tokens")
         met = met.unionByName(settle(in_blocks(*mixed_groups(tokens, 2)), "met"))
     pairs = met.join(full, "_key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    pairs = pairs.select(*GROUP, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "id", "part", "signature", "shingles", "block", "earlier")
+    pairs = pairs.select(*GROUP, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "id", "part", "signature", "shingles", "block", "place", "earlier")
     by = [*GROUP, "lo", "hi"]
     return pairs.repartition(*by).sortWithinPartitions(*by).mapInArrow(each_block(block_links(least, percent)), f"a {kind}, b {kind}")
 
@@ -259,25 +259,34 @@ def in_blocks(members: DataFrame, groups: DataFrame) -> DataFrame:
     met = members.join(groups, GROUP)
     block = F.when(main, F.col("others") + F.pmod(place, "mains")).otherwise(F.pmod(place, "others")).cast("int")
     last = F.when(main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
-    return met.select("_key", *GROUP, "earlier", block.alias("block"), last.alias("last"))
+    return met.select("_key", *GROUP, "place", "earlier", block.alias("block"), last.alias("last"))
 
 
 def leading_tokens(rows: DataFrame, percent: int) -> DataFrame:
-    """The rarest shingles of each set, so many that sets alike at `percent` share one, each with those before it.
+    """The first shingles of each set, so many that sets alike at `percent` share one, each with those before it.
 
-    Rarity is the number of sets with a shingle of the same leading bits, counted over `rows`
-    in a table of fixed size, then the shingle itself: one order for all sets.
+    One order for all sets: by the number of sets with a shingle of the same leading bits,
+    counted over `rows` in a table of fixed size, then by the shingle itself. Leading bits
+    heard in one component only come before all others and their shingles are left out,
+    since no two rows that may meet share them. `place` counts them.
     """
 
     def tally(batches):
         heard = np.zeros(1 << RARITY_BITS, np.int64)
+        low, high = np.full(len(heard), np.iinfo(np.int64).max), np.full(len(heard), np.iinfo(np.int64).min)
         for batch in batches:
-            data, _ = flat_bytes(batch.column(0))
-            heard += np.bincount(data.view(np.uint64) >> np.uint64(64 - RARITY_BITS), minlength=len(heard))
+            data, offsets = flat_bytes(batch.column(0))
+            at = (data.view(np.uint64) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+            part = np.repeat(np.asarray(batch.column(1)), np.diff(offsets) // 8)
+            heard += np.bincount(at, minlength=len(heard))
+            np.minimum.at(low, at, part)
+            np.maximum.at(high, at, part)
         at = np.flatnonzero(heard)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(heard[at])], names=["place", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(heard[at]), pa.array(low[at]), pa.array(high[at])], names=["place", "n", "low", "high"])
 
-    counts = bounded(rows).select("shingles").mapInArrow(tally, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    found = bounded(rows).select("shingles", F.xxhash64("part")).mapInArrow(tally, "place int, n long, low long, high long")
+    found = found.groupBy("place").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    counts = found.filter("low < high").select("place", "n").toArrow()
     heard = np.zeros(1 << RARITY_BITS, np.int64)
     heard[np.asarray(counts["place"])] = np.asarray(counts["n"])
     rarity = rows.sparkSession.sparkContext.broadcast(heard)
@@ -286,21 +295,24 @@ def leading_tokens(rows: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for a, b in slices(batch.column(3), 1 << 17):
                 part = batch.slice(a, b - a)
-                leads = [lead(np.frombuffer(s.as_buffer(), np.uint64)) for s in part.column(3)]
+                leads, places = zip(*(lead(np.frombuffer(s.as_buffer(), np.uint64)) for s in part.column(3)))
                 at = pa.array(np.repeat(np.arange(len(leads)), [len(x) for x in leads]))
                 tokens = [x.byteswap().tobytes() for x in leads]
                 prefix = [t[i : i + 8] for t in tokens for i in range(0, len(t), 8)]
                 earlier = [t[:i] for t in tokens for i in range(0, len(t), 8)]
                 columns = [pa.array([TOKENS] * len(at), pa.int32()), pa.array(prefix, pa.binary())]
-                columns += [part.column(i).take(at) for i in range(3)] + [pa.array(earlier, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["tree", "prefix", "_key", "n_shingles", "part", "earlier"])
+                columns += [part.column(i).take(at) for i in range(3)] + [pa.array(np.concatenate(places), pa.int32()), pa.array(earlier, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["tree", "prefix", "_key", "n_shingles", "part", "place", "earlier"])
 
-    def lead(s: np.ndarray) -> np.ndarray:
+    def lead(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         least = -(-percent * len(s) // 100)
-        return s[np.lexsort((s, rarity.value[s >> np.uint64(64 - RARITY_BITS)]))[: len(s) - least + 1]]
+        heard = rarity.value[s >> np.uint64(64 - RARITY_BITS)]
+        order = np.lexsort((s, heard))[: len(s) - least + 1]
+        places = np.flatnonzero(heard[order])
+        return s[order[places]], places
 
     kind = rows.schema["part"].dataType.simpleString()
-    return rows.select("_key", "n_shingles", "part", "shingles").mapInArrow(run, f"tree int, prefix binary, _key binary, n_shingles long, part {kind}, earlier binary")
+    return rows.select("_key", "n_shingles", "part", "shingles").mapInArrow(run, f"tree int, prefix binary, _key binary, n_shingles long, part {kind}, place int, earlier binary")
 
 
 def set_bytes(size: int, word: np.ndarray):
@@ -359,7 +371,7 @@ def block_links(least: int, percent: int):
         # each pair in the first order, or at the first shingle, that it shares
         if tree == TOKENS:
             earlier = [np.frombuffer(e, np.uint64) for e in table["earlier"].to_pylist()]
-            left = sizes - [len(e) for e in earlier]
+            left = sizes - np.asarray(table["place"])
             todo &= (100 + percent) * np.minimum(left[:, None], left) >= percent * (sizes[:, None] + sizes)
             shared = np.concatenate(earlier)
             order = np.argsort(shared, kind="stable")
